@@ -10,7 +10,7 @@ from .distance import (
 )
 from .phonetic import fragment_columns, nysiis
 from .text import (
-    ascii_upper,
+    bind,
     display_name,
     dob_parts,
     dob_text,
@@ -21,7 +21,7 @@ from .text import (
 )
 
 __all__ = [
-    "ascii_upper",
+    "bind",
     "display_name",
     "dob_distance",
     "dob_parts",

@@ -17,64 +17,83 @@ reached here without a loop:
 from pyspark.sql import functions as F
 
 from ..schemas import VARIANT_WEIGHTS
-from .text import _column, ascii_upper, remove_special_chars, strip_name_suffix
+from .text import SUFFIX_PATTERN, _column, bind
 
 MAX_LENGTH = 50
 
 # Endings and their replacements, each applied once.
 _ENDINGS = [
-    (r"IX\z", "IC"),
-    (r"EX\z", "EC"),
+    (r"([IE])X\z", "$1C"),
     (r"(?:YE|EE|IE)\z", "Y"),
     (r"[RN]*(?:DT|RT|RD|NT|ND)\z", "D"),
 ]
+_ANY_END = r"\A(?:MAC|PF|EV)|(?:[IE]X|YE|EE|IE|DT|RT|RD|NT|ND)\z"
 # Digraphs and their results (lower case = already rewritten).
 _DIGRAPHS = [
     ("DG", "g"), ("PH", "f"), ("KN", "n"), ("SH", "s"), ("SCH", "s"), ("YW", "y"), ("WR", "r"),
 ]
+# Single letters rewritten anywhere, and only after the first letter.
+_LETTERS = [("E", "A"), ("I", "A"), ("O", "A"), ("U", "A"), ("K", "C")]
+_LATER_LETTERS = [("M", "N"), ("Q", "G"), ("Z", "S")]
+
+
+def _replace_all(text, pairs):
+    for old, new in pairs:
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
 
 
 def cleaned_name(name):
-    """Upper-case letters and digits of the first 50 characters, suffix removed."""
-    text = ascii_upper(F.substring(F.coalesce(_column(name), F.lit("")), 1, MAX_LENGTH))
-    return remove_special_chars(strip_name_suffix(text))
+    """Upper-case letters and digits of the first 50 characters, suffix removed.
+
+    Suffix and special characters go in one pattern; what remains is ASCII, so
+    upper-casing cannot turn another letter into an ASCII one.
+    """
+    text = F.substring(F.coalesce(_column(name), F.lit("")), 1, MAX_LENGTH)
+    return F.upper(F.regexp_replace(text, f"{SUFFIX_PATTERN}|[^A-Za-z0-9]", ""))
 
 
 def _rewrite_ends(text):
-    text = F.regexp_replace(text, r"[SZ]+\z", "")
-    text = F.regexp_replace(text, r"\AMAC", "MCC")
-    text = F.regexp_replace(text, r"\APF", "F")
-    for pattern, replacement in _ENDINGS:
-        text = F.regexp_replace(text, pattern, replacement)
-    return F.regexp_replace(text, r"\AEV(.*)\z", "$1AF")
-
-
-def _letter_codes(text):
-    for digraph, result in _DIGRAPHS:
-        text = F.replace(text, F.lit(digraph), F.lit(result))
-    # H before a vowel, judged on the unchanged vowel
-    text = F.regexp_replace(text, r"(?<!\A)H(?=[AEIOU])", "")
-    # M, Q and Z change everywhere but at the start; Y everywhere but at both ends
-    text = F.regexp_replace(text, r"(?<!\A)Y(?!\z)", "A")
-    text = F.regexp_replace(text, r"(?<!\A)M", "N")
-    text = F.regexp_replace(text, r"(?<!\A)Q", "G")
-    text = F.regexp_replace(text, r"(?<!\A)Z", "S")
-    text = F.translate(text, "EIOUK", "AAAAC")
-    text = F.regexp_replace(text, "(?<=A)[WH]+", "")
-    return F.regexp_replace(ascii_upper(text), r"(.)\1+", "$1")
+    """Starts and endings; most names have none of them and skip the rewriting."""
+
+    def rewritten(text):
+        ends = F.regexp_replace(text, r"\AMAC", "MCC")
+        ends = F.regexp_replace(ends, r"\APF", "F")
+        for pattern, replacement in _ENDINGS:
+            ends = F.regexp_replace(ends, pattern, replacement)
+        ends = F.regexp_replace(ends, r"\AEV(.*)\z", "$1AF")
+        return F.when(text.rlike(_ANY_END), ends).otherwise(text)
+
+    return bind(F.rtrim(text, F.lit("SZ")), rewritten)
+
+
+def _rewrite_letters(text):
+    """Letter codes of a text in which digraphs are already rewritten."""
+    head = _replace_all(F.left(text, F.lit(1)), _LETTERS)
+    tail = F.substring(text, 2, MAX_LENGTH)
+    tail = F.regexp_replace(tail, "H(?=[AEIOU])", "")  # judged on the unchanged vowel
+    tail = F.regexp_replace(tail, "Y(?=.)", "A")  # a final Y stays
+    tail = _replace_all(tail, _LETTERS + _LATER_LETTERS)
+    codes = F.regexp_replace(F.concat(head, tail), "(?<=A)[WH]+", "")
+    return F.regexp_replace(F.upper(codes), r"(.)\1+", "$1")
+
+
+def _code_of(cleaned):
+    code = bind(_replace_all(_rewrite_ends(cleaned), _DIGRAPHS), _rewrite_letters)
+    code = F.rtrim(F.regexp_replace(code, r"AY\z", "Y"), F.lit("A"))
+    first = F.left(cleaned, F.lit(1))
+    return bind(
+        code,
+        lambda code: F.when(
+            first.isin("A", "E", "I", "O", "U"),
+            F.concat(first, F.substring(code, 2, MAX_LENGTH)),
+        ).otherwise(code),
+    )
 
 
 def nysiis(name):
     """Phonetic code of a name; never NULL, ``''`` when nothing is left."""
-    cleaned = cleaned_name(name)
-    code = _letter_codes(_rewrite_ends(cleaned))
-    code = F.regexp_replace(code, r"AY\z", "Y")
-    code = F.regexp_replace(code, r"A+\z", "")
-    first = F.substring(cleaned, 1, 1)
-    return F.when(
-        first.isin("A", "E", "I", "O", "U"),
-        F.concat(first, F.substring(code, 2, MAX_LENGTH)),
-    ).otherwise(code)
+    return bind(cleaned_name(name), _code_of)
 
 
 def fragment_columns(code):

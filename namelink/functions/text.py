@@ -1,24 +1,26 @@
 """Text helpers. All are built-in Spark expressions; nothing leaves the JVM."""
 
 import re
-import string
 
-from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..schemas import NAME_ALIASES
 
 # Generational and title suffixes, each after a blank.
-_SUFFIX_PATTERN = r"(?i)(?: I| II| III| IV| VI| JR| SR| MD| PHD| JR\.| SR\.)\z"
+SUFFIX_PATTERN = r"(?i)(?: I| II| III| IV| VI| JR| SR| MD| PHD| JR\.| SR\.)\z"
 
 
 def _column(value):
     return F.col(value) if isinstance(value, str) else value
 
 
-def ascii_upper(text):
-    """Upper-case ASCII letters only, so no other character can become a letter."""
-    return F.translate(_column(text), string.ascii_lowercase, string.ascii_uppercase)
+def bind(value, body):
+    """``body`` of an expression that is evaluated once and used several times.
+
+    Without it each use would repeat the whole expression, and the generated method
+    would outgrow what the JVM compiles.
+    """
+    return F.transform(F.array(value), body)[0]
 
 
 def _split_literal(values, delimiter):
@@ -55,7 +57,7 @@ def remove_special_chars(text, allowed=None, delimiter="|"):
 
 def strip_name_suffix(name):
     """Remove one trailing suffix such as `` III`` or `` Jr.``; a comma stays."""
-    return F.regexp_replace(_column(name), _SUFFIX_PATTERN, "")
+    return F.regexp_replace(_column(name), SUFFIX_PATTERN, "")
 
 
 def split_tokens(values, delimiter):
