@@ -33,7 +33,6 @@ from .operators import (
     index_unchanged,
     lookup_claims,
     match_rank,
-    top_candidates,
     top_n,
 )
 from .plans import claim_search, duplicates, entity_index, entity_search, party_index
@@ -163,19 +162,21 @@ def searches_and_parties(spark, d):
     return encoded, claim_search.prepare_party_search(*everyone, index)
 
 
-def candidates(spark, d):
+def searched_pairs(spark, d):
     encoded, prepared = searches_and_parties(spark, d)
-    return claim_search.scored_candidates(claim_search.distinct_searches(encoded), prepared)
+    searches = claim_search.distinct_searches(encoded)
+    return claim_search.candidate_pairs(searches, prepared), searches
 
 
 def party_scores(spark, d):
-    return candidates(spark, d).select(
+    return claim_search.scored_candidates(searched_pairs(spark, d)[0]).select(
         "search_id", "party_id", "weight", "types", "cnt", "score"
     )
 
 
 def totals(spark, d):
-    return claim_search.totals_per_party(top_candidates(candidates(spark, d)))
+    pairs, searches = searched_pairs(spark, d)
+    return claim_search.totals_per_party(claim_search.limited_candidates(pairs), searches)
 
 
 def party_matches(spark, d):
@@ -397,7 +398,7 @@ QUERIES = {
     "match_rank": lambda s, d: match_rank(totals(s, d)).select(
         "search_id", "party_id", "total_distance", "rank"),
     "sorted_matches": lambda s, d: entity_search.sorted_matches(entity_matches(s, d)),
-    "top_candidates": lambda s, d: top_candidates(candidates(s, d)).select(
+    "top_candidates": lambda s, d: claim_search.limited_candidates(searched_pairs(s, d)[0]).select(
         "search_id", "party_id", "weight", "score"),
     "top_n": lambda s, d: top_n(totals(s, d)).select(
         "search_id", "party_id", "total_distance", "rank"),
