@@ -100,10 +100,11 @@ def lookup_claims(claims, requests=None, *, claim_id=None, stamp_number=None):
     by_id = F.nullif(F.col("claim_id"), F.lit(0))
     by_stamp = F.nullif(F.col("stamp_number"), F.lit(""))
     message = F.lit("Either claim_id or stamp_number must be given in every request")
+    no_key = by_id.isNull() & by_stamp.isNull()
+    # raised from a join key, which is computed for every request
     wanted = requests.select(
-        F.when(by_id.isNull() & by_stamp.isNull(), F.raise_error(message).cast("bigint"))
-        .otherwise(F.col("request_id")).alias("request_id"),
-        by_id.alias("_claim_id"),
+        "request_id",
+        F.when(no_key, F.raise_error(message).cast("bigint")).otherwise(by_id).alias("_claim_id"),
         by_stamp.alias("_stamp"),
     )
     same_id = F.col("claim_id") == F.col("_claim_id")
