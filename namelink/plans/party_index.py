@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..functions import nysiis
 from ..operators import eligible_parties, fragment_union
 from ..operators.index_diff import KEY
-from ..schemas import PARTY_INDEX
+from ..schemas import PARTY_INDEX, WEIGHT
 
 
 def encode_parties(parties):
@@ -34,66 +34,100 @@ def _stamped(rows, user_id):
     ).select(*PARTY_INDEX.names)
 
 
-def party_index_changes(expected, existing, user_id):
-    """What a refresh does to each row of the run's parties: the change set.
+def compare_party_index(expected, existing):
+    """Every stored and every missing row with what a refresh does to it.
 
-    ``action`` is insert, update, keep or delete. Updated rows keep their user stamps,
-    inserted rows get ``user_id``. Where a key is stored more than once, the row that
-    already holds the expected code survives and the others are deleted.
+    ``action`` is untouched (party outside the run), keep, update, delete or insert.
+    Where a key is stored more than once, the row that already holds the expected code
+    survives and the others are deleted.
+
+    Both sides are stacked and shuffled once, by party; a party has some eight rows a
+    side, and all comparisons are windows inside that partitioning.
     """
-    run = expected.select("party_id").distinct()
-    stored = existing.join(run, "party_id", "left_semi").select(
+    wanted = expected.select(
         *KEY,
-        F.col("phonetic_name").alias("old_phonetic_name"),
-        F.col("weight").alias("old_weight"),
-        "created_by",
-        "modified_by",
-        F.lit(True).alias("is_stored"),
+        F.col("phonetic_name").alias("new_code"),
+        F.col("weight").alias("new_weight"),
+        *[F.lit(None).cast(PARTY_INDEX[c].dataType).alias(c)
+          for c in ("phonetic_name", "weight", "created_by", "modified_by")],
+        F.lit(1).alias("is_wanted"),
     )
-    wanted = expected.select(*KEY, "phonetic_name", "weight", F.lit(True).alias("is_wanted"))
-    same = F.col("phonetic_name").eqNullSafe(F.col("old_phonetic_name")) & F.col(
-        "weight"
-    ).eqNullSafe(F.col("old_weight"))
-    copies = Window.partitionBy(*KEY).orderBy(
-        F.desc("is_same"), "old_phonetic_name", "old_weight", "created_by", "modified_by"
+    stored = existing.select(
+        *KEY,
+        F.lit(None).cast("string").alias("new_code"),
+        F.lit(None).cast(WEIGHT).alias("new_weight"),
+        "phonetic_name", "weight", "created_by", "modified_by",
+        F.lit(0).alias("is_wanted"),
+    )
+    party, key = Window.partitionBy("party_id"), Window.partitionBy(*KEY)
+    copies = key.orderBy(
+        "is_wanted", F.desc("is_same"), "phonetic_name", "weight", "created_by", "modified_by"
     )
     both = (
-        wanted.join(stored, KEY, "full_outer")
-        .withColumn("is_same", same)
-        .withColumn("_copy", F.row_number().over(copies))
+        wanted.unionByName(stored)
+        .withColumn("in_run", F.max("is_wanted").over(party))
+        .withColumns({
+            "new_code": F.max("new_code").over(key),
+            "new_weight": F.max("new_weight").over(key),
+            "n_stored": F.sum(1 - F.col("is_wanted")).over(key),
+        })
+        .withColumn("is_same", F.col("phonetic_name").eqNullSafe(F.col("new_code"))
+                    & F.col("weight").eqNullSafe(F.col("new_weight")))
+        .withColumn("copy", F.row_number().over(copies))
     )
     action = (
-        F.when(F.col("is_wanted").isNull() | (F.col("_copy") > 1), "delete")
-        .when(F.col("is_stored").isNull(), "insert")
+        F.when(F.col("in_run") == 0, "untouched")
+        .when(F.col("is_wanted") == 1, "insert")
+        .when(F.col("new_code").isNull() | (F.col("copy") > 1), "delete")
         .when(F.col("is_same"), "keep")
         .otherwise("update")
     )
-    inserted = F.col("action") == "insert"
-    deleted = F.col("action") == "delete"
-    user = F.lit(user_id).cast("int")
-    return both.withColumn("action", action).select(
+    answered = (F.col("is_wanted") == 1) & (F.col("n_stored") > 0)
+    return both.filter(~answered).withColumn("action", action)
+
+
+def party_index_changes(compared, user_id):
+    """The change set of the run's parties: insert, update, keep and delete.
+
+    Updated rows keep their user stamps, inserted rows get ``user_id``.
+    """
+    return compared.filter(F.col("action") != "untouched").select(
         "action",
         "party_id",
-        F.when(deleted, F.lit(None)).otherwise(F.col("phonetic_name")).alias("phonetic_name"),
+        F.when(F.col("action") != "delete", F.col("new_code")).alias("phonetic_name"),
         "name_field_id",
         "variant",
-        F.when(deleted, F.col("old_weight")).otherwise(F.col("weight")).alias("weight"),
-        F.when(inserted, user).otherwise(F.col("created_by")).alias("created_by"),
-        F.when(inserted, user).otherwise(F.col("modified_by")).alias("modified_by"),
-        "old_phonetic_name",
+        F.when(F.col("action") == "delete", F.col("weight")).otherwise(F.col("new_weight"))
+        .alias("weight"),
+        _stamp("created_by", user_id),
+        _stamp("modified_by", user_id),
+        F.col("phonetic_name").alias("old_phonetic_name"),
     )
 
 
-def merge_party_index(expected, existing, changes):
-    """New index: rows of parties outside the run, and every surviving row of the run."""
-    run = expected.select("party_id").distinct()
-    untouched = existing.join(run, "party_id", "left_anti").select(*PARTY_INDEX.names)
-    current = changes.filter(F.col("action") != "delete").select(*PARTY_INDEX.names)
-    return untouched.unionByName(current)
+def _stamp(column, user_id):
+    user = F.lit(user_id).cast("int")
+    return F.when(F.col("action") == "insert", user).otherwise(F.col(column)).alias(column)
+
+
+def merge_party_index(compared, user_id):
+    """New index: untouched rows as they are, and every surviving row of the run."""
+    untouched = F.col("action") == "untouched"
+    return compared.filter(F.col("action") != "delete").select(
+        "party_id",
+        F.when(untouched, F.col("phonetic_name")).otherwise(F.col("new_code"))
+        .alias("phonetic_name"),
+        "name_field_id",
+        "variant",
+        F.when(untouched, F.col("weight")).otherwise(F.col("new_weight")).alias("weight"),
+        _stamp("created_by", user_id),
+        _stamp("modified_by", user_id),
+    )
 
 
 def refresh_party_index(parties, relationships, members, existing, user_id):
     """(new index, change set) of a refresh run by ``user_id``."""
-    expected = expected_party_rows(parties, relationships, members)
-    changes = party_index_changes(expected, existing, user_id)
-    return merge_party_index(expected, existing, changes), changes
+    compared = compare_party_index(
+        expected_party_rows(parties, relationships, members), existing
+    )
+    return merge_party_index(compared, user_id), party_index_changes(compared, user_id)
