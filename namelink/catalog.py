@@ -117,6 +117,13 @@ def entity_matches(spark, d):
     )
 
 
+def prepared_entity_matches(spark, d):
+    """The large-batch form of the search, whatever the number of terms."""
+    prepared = entity_search.prepare_entity_search(fx.entities(spark, d), entity_index_of(spark, d))
+    best = entity_search.search_prepared(entity_search.encoded_terms(fx.terms(spark, d)), prepared)
+    return entity_search.with_distance(best).drop("search_term")
+
+
 def term_hits(spark, d):
     encoded = entity_search.encoded_terms(fx.terms(spark, d))
     return contains_join(encoded, entity_index_of(spark, d)).drop("search_term")
@@ -406,6 +413,7 @@ QUERIES = {
     "build_entity_index": entity_index_of,
     "refresh_party_index": lambda s, d: party_refresh(s, d)[1],
     "find_entity_matches": entity_matches,
+    "find_entity_matches_prepared": prepared_entity_matches,
     "encoded_terms": lambda s, d: entity_search.encoded_terms(fx.terms(s, d)),
     "find_party_matches": party_matches,
     "find_party_matches_literal": literal_party_matches,

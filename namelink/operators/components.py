@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..sources.publish import shared_folder
+from .hot_keys import join_groups
 
 
 def durable(frame):
@@ -16,10 +17,11 @@ def durable(frame):
 def _large_star(links):
     """Point every larger neighbour of a node at the smallest node around it."""
     both = links.unionByName(links.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    smallest = both.groupBy("src").agg(F.least("src", F.min("dst")).alias("root"))
+    smallest = both.groupBy("src").agg(
+        F.least("src", F.min("dst")).alias("root"), F.count(F.lit(1)).alias("degree")
+    )
     return (
-        both.filter(F.col("dst") > F.col("src"))
-        .join(smallest, "src")
+        join_groups(both.filter(F.col("dst") > F.col("src")), smallest, ["src"], "degree")
         .select(F.col("dst").alias("src"), F.col("root").alias("dst"))
         .distinct()
     )
@@ -27,9 +29,11 @@ def _large_star(links):
 
 def _small_star(links):
     """Point a node and its smaller neighbours at the smallest of them."""
-    smallest = links.groupBy("src").agg(F.min("dst").alias("root"))
+    smallest = links.groupBy("src").agg(
+        F.min("dst").alias("root"), F.count(F.lit(1)).alias("degree")
+    )
     moved = (
-        links.join(smallest, "src")
+        join_groups(links, smallest, ["src"], "degree")
         .filter(F.col("dst") != F.col("root"))
         .select(F.col("dst").alias("src"), F.col("root").alias("dst"))
     )

@@ -49,11 +49,13 @@ def join_probes(probes, n_probes, index, on):
     return probes.hint("merge").join(index, on)
 
 
-def contains_join(queries, index, code="code"):
+def contains_join(queries, index, code="code", n_probes=None):
     """Pair each query with every index row whose fragment its code contains.
 
     ``queries`` needs the code column; all columns of both sides are kept.
     """
+    if n_probes is None:
+        n_probes = probe_count(queries, code)
     probes = queries.withColumn("_fragment", F.explode(substrings(F.col(code))))
     on = F.col("_fragment") == F.col("phonetic_name")
-    return join_probes(probes, probe_count(queries, code), index, on).drop("_fragment")
+    return join_probes(probes, n_probes, index, on).drop("_fragment")

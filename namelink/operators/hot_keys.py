@@ -1,0 +1,21 @@
+"""Join rows to a table of their groups when one group may hold most of the rows."""
+
+from pyspark.sql import functions as F
+
+HOT_ROWS = 1_000_000
+
+
+def join_groups(rows, groups, on, size):
+    """Inner join of ``rows`` with ``groups``, which has one row per ``on`` key.
+
+    ``size`` names the column of ``groups`` that counts the rows of each key. Keys with
+    more than HOT_ROWS rows number at most one per million rows, so they are broadcast
+    and their rows stay where they are; all others are shuffled, and none of them can
+    fill a task. (Adaptive execution does not split this join by itself: the group side
+    comes out of an aggregation, not straight from a shuffle.)
+    """
+    hot = groups.filter(F.col(size) > HOT_ROWS)
+    cold = groups.filter(F.col(size) <= HOT_ROWS)
+    in_hot = rows.join(F.broadcast(hot), on)
+    in_cold = rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(cold, on)
+    return in_hot.unionByName(in_cold)

@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from namelink.operators import hot_keys
 from namelink.operators.components import connected_components
 from namelink.plans.duplicates import duplicate_clusters, duplicate_pairs, merge_duplicates
 from namelink.plans.entity_index import build_entity_index
@@ -29,8 +30,9 @@ def union_find(nodes, links):
     return label
 
 
-@pytest.mark.parametrize("distance", [1, 2])
-def test_pairs_agree_with_brute_force(spark, distance):
+@pytest.mark.parametrize("distance,hot_rows", [(1, 1_000_000), (1, 1), (2, 1_000_000)])
+def test_pairs_agree_with_brute_force(spark, monkeypatch, distance, hot_rows):
+    monkeypatch.setattr(hot_keys, "HOT_ROWS", hot_rows)
     rng = random.Random(7)
     base = ["Klueppel", "Klappel", "Austin", "Austyn", "Moon", "Mon", "Duvall", "Duval"]
 
@@ -76,7 +78,9 @@ def test_merge_keeps_the_smallest_id_and_longest_values(spark):
     assert rows(merged) == [(0, "A", "DALLAS", None, "t", 100, 3), (3, "B", "Dallas", None, "t", 103, 1)]
 
 
-def test_components_of_chains_stars_and_noise(spark):
+@pytest.mark.parametrize("hot_rows", [1_000_000, 20])
+def test_components_of_chains_stars_and_noise(spark, monkeypatch, hot_rows):
+    monkeypatch.setattr(hot_keys, "HOT_ROWS", hot_rows)
     rng = random.Random(8)
     chain = [(i, i + 1) for i in range(60)]
     star = [(100, 100 + i) for i in range(1, 80)]
