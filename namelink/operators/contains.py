@@ -12,8 +12,8 @@ execution splits the partitions of very common fragments on both sides.
 
 from pyspark.sql import functions as F
 
-# A probe row takes about 100 bytes, so at most some 50 MB are broadcast.
-BROADCAST_PROBES = 500_000
+# A probe row takes about 100 bytes, so at most some 10 MB are broadcast.
+BROADCAST_PROBES = 100_000
 
 
 def substrings(code, keep_empty=False):

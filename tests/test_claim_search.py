@@ -117,7 +117,7 @@ def brute_force(claims, parties, index, n_members, limit, quantity):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("limit,broadcast", [(1, 0), (7, 0), (7, 500_000), (500, 0)])
+@pytest.mark.parametrize("limit,broadcast", [(1, 0), (7, 0), (7, 100_000), (500, 0)])
 def test_limits_agree_with_brute_force(spark, monkeypatch, limit, broadcast):
     """One name holds a third of all parties; the limit cuts through ties."""
     monkeypatch.setattr(contains, "BROADCAST_PROBES", broadcast)

@@ -87,7 +87,7 @@ def test_stale_index_with_many_codes_per_value(spark):
     assert slow.count() > 3
 
 
-@pytest.mark.parametrize("limit", [0, 500_000])
+@pytest.mark.parametrize("limit", [0, 100_000])
 def test_search_plan(spark, monkeypatch, limit):
     monkeypatch.setattr(contains, "BROADCAST_PROBES", limit)
     entities = seed_entities(spark)
