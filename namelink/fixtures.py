@@ -9,15 +9,35 @@ from pyspark.sql import functions as F
 from .plans.party_index import encode_parties
 from .operators import eligible_parties, fragment_union
 from .schemas import CLAIM, ENTITY, MEMBER, PARTY, PARTY_INDEX, RELATIONSHIP, WEIGHT
-from .sources import conform
+from .sources import conform, load_table
 
 TWO_WORDS = "^([A-Za-z]+)[^A-Za-z]+([A-Za-z]+)"
 OLD_USER = 7
 NEW_USER = 5150
 
 
+# Declared, so that building a query starts no job to look into the files.
+TABLES = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 def table(spark, sf_dir, name):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return load_table(spark, f"{sf_dir}/{name}.parquet", TABLES[name])
 
 
 def names(spark, sf_dir):
