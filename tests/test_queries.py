@@ -1,4 +1,4 @@
-"""Every registered query against its SQL counterpart at the smallest scale."""
+"""Every linkage query against its SQL counterpart at the smallest scale."""
 
 import importlib.util
 from collections import Counter
@@ -12,6 +12,9 @@ spec = importlib.util.spec_from_file_location("entry_module", ROOT / "__spark_en
 entry_module = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(entry_module)
 
+from namelink.catalog import QUERIES  # noqa: E402
+from oracle.sql import ORACLES  # noqa: E402
+
 
 @pytest.fixture(scope="module")
 def tables(sf_dir):
@@ -22,15 +25,17 @@ def tables(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, sf_dir, tables, name):
-    frame = entry_module.queries()[name](spark, sf_dir)
+    frame = QUERIES[name](spark, sf_dir)
     columns = sorted(frame.columns)
     got = Counter(tuple(str(r[c]) for c in columns) for r in frame.collect())
-    cursor = tables.execute(entry_module.oracle_sql()[name])
+    cursor = tables.execute(ORACLES[name])
     names = [c[0] for c in cursor.description]
     assert sorted(names) == columns
     order = [names.index(c) for c in columns]
