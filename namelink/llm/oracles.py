@@ -59,6 +59,41 @@ WITH words AS (
 SELECT *, NOT base_failed AND len(failed_rules) = 0 AS kept FROM judged
 """
 
+OP6 = r"""
+WITH doc_words AS (
+    SELECT doc_id, regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), item_words AS (
+    SELECT item_id, regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), item_windows AS (
+    SELECT DISTINCT item_id, m, array_to_string(w[i:i + m - 1], ' ') AS win
+    FROM (SELECT item_id, w, least(len(w), 10) AS m, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i
+          FROM item_words WHERE len(w) > 0)
+), doc_windows AS (
+    SELECT doc_id, i, m, array_to_string(w[i:i + m - 1], ' ') AS win
+    FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i
+          FROM doc_words, (SELECT DISTINCT m FROM item_windows) WHERE len(w) >= m)
+), found AS (
+    SELECT doc_id, i, m, item_id FROM doc_windows JOIN item_windows USING (m, win)
+), hits AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + m)) AS p FROM (SELECT DISTINCT doc_id, i, m FROM found)) GROUP BY doc_id
+), items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
 ORACLES = {
+    "op6_decontaminate": OP6,
     "op8_quality_rules": OP8,
 }

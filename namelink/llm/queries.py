@@ -1,7 +1,11 @@
 """The registered query of each corpus operator, with production parameters."""
 
+import public_tokenizers
+
 from ..sources import load_table
+from .decontaminate import contamination_report
 from .quality import quality_rules
+from .token_files import token_file_round_trip
 
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 BENCHMARK = "item_id bigint, text string"
@@ -12,10 +16,24 @@ def documents(spark, sf_dir):
     return load_table(spark, f"{sf_dir}/documents.parquet", DOCUMENTS)
 
 
+def benchmark(spark, sf_dir):
+    return load_table(spark, f"{sf_dir}/benchmark.parquet", BENCHMARK)
+
+
+def op2_token_files(spark, sf_dir):
+    return token_file_round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op6_decontaminate(spark, sf_dir):
+    return contamination_report(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
 def op8_quality_rules(spark, sf_dir):
     return quality_rules(documents(spark, sf_dir))
 
 
 QUERIES = {
+    "op2_token_files": op2_token_files,
+    "op6_decontaminate": op6_decontaminate,
     "op8_quality_rules": op8_quality_rules,
 }
