@@ -3,6 +3,7 @@
 import public_tokenizers
 
 from ..sources import load_table
+from .bpe_shuffle import bpe_round_trip
 from .decontaminate import contamination_report
 from .quality import quality_rules
 from .token_files import token_file_round_trip
@@ -28,6 +29,11 @@ def op6_decontaminate(spark, sf_dir):
     return contamination_report(documents(spark, sf_dir), benchmark(spark, sf_dir))
 
 
+def op7_bpe_shuffle(spark, sf_dir):
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe_round_trip(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+
+
 def op8_quality_rules(spark, sf_dir):
     return quality_rules(documents(spark, sf_dir))
 
@@ -35,5 +41,6 @@ def op8_quality_rules(spark, sf_dir):
 QUERIES = {
     "op2_token_files": op2_token_files,
     "op6_decontaminate": op6_decontaminate,
+    "op7_bpe_shuffle": op7_bpe_shuffle,
     "op8_quality_rules": op8_quality_rules,
 }
