@@ -93,7 +93,35 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM doc_words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+OP10 = """
+WITH all_lines AS (
+    SELECT doc_id, generate_subscripts(lines, 1) AS pos, unnest(lines) AS line
+    FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL)
+), firsts AS (
+    SELECT line, length(line) AS size, min((doc_id, pos)) AS first
+    FROM all_lines WHERE length(line) >= 30 GROUP BY line
+), near AS (
+    SELECT DISTINCT CASE WHEN a.first > b.first THEN a.line ELSE b.line END AS line
+    FROM firsts AS a JOIN firsts AS b
+      ON b.size BETWEEN a.size AND a.size + 1 AND a.line <> b.line
+     AND (left(a.line, a.size // 2) = left(b.line, a.size // 2)
+          OR right(a.line, a.size - a.size // 2) = right(b.line, a.size - a.size // 2))
+    WHERE levenshtein(a.line, b.line) <= 1
+), judged AS (
+    SELECT l.doc_id, l.pos, l.line,
+           CASE WHEN length(l.line) < 30 THEN 'k' WHEN f.first <> (l.doc_id, l.pos) THEN 'x'
+                WHEN n.line IS NOT NULL THEN 'n' ELSE 'k' END AS state
+    FROM all_lines AS l LEFT JOIN firsts AS f USING (line) LEFT JOIN near AS n USING (line)
+)
+SELECT d.doc_id, count(j.pos) AS n_lines,
+       count(*) FILTER (WHERE state = 'x') AS n_dropped_equal,
+       count(*) FILTER (WHERE state = 'n') AS n_dropped_near,
+       sha256(coalesce(string_agg(j.line, chr(10) ORDER BY j.pos) FILTER (WHERE state = 'k'), '')) AS text_sha256
+FROM documents AS d LEFT JOIN judged AS j USING (doc_id) GROUP BY d.doc_id
+"""
+
 ORACLES = {
+    "op10_line_dedup": OP10,
     "op6_decontaminate": OP6,
     "op8_quality_rules": OP8,
 }
