@@ -11,14 +11,12 @@ of the matrix around the diagonal.
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .shared import staged
+from .shared import key_filter, let_through, staged
 
 MIN_CHARS = 30
 MAX_EDITS = 1
 #: Lines of one segment above which the rest of the line is cut again before pairing.
 HOT_LINES = 64
-#: Bits of the segment filter: 2**26 bits are 8 MB however many segments there are.
-FILTER_BITS = 1 << 26
 POSITIONS = 1 << 31
 
 LINE_BREAK = "\n"
@@ -74,33 +72,14 @@ def _refined_keys(line):
     )
 
 
-def _shared_segments(lines, min_chars):
-    """Segment keys that two different lines have, as a bitmap of bounded size.
-
-    A bit may also stand for keys that only one line has, so it never hides a pair.
-    """
-    keys = lines.select(
-        F.xxhash64("line").alias("x"), F.explode(_segment_keys(F.col("line"), min_chars)["key"]).alias("key")
-    )
-    shared = keys.groupBy("key").agg(F.min("x").alias("least"), F.max("x").alias("most")).filter("least != most")
-    slot = F.pmod(F.col("key"), F.lit(FILTER_BITS))
-    return shared.select(F.bitmap_bucket_number(slot).alias("bucket"), F.bitmap_bit_position(slot).alias("bit")).groupBy(
-        "bucket"
-    ).agg(F.bitmap_construct_agg("bit").alias("bits"))
-
-
 def _maybe_near(lines, min_chars):
     """Distinct lines that may share a segment with another: (h, line, first)."""
-    bitmap = F.broadcast(_shared_segments(lines, min_chars))  # at most FILTER_BITS / 8 bytes
-    keyed = lines.select("*", F.explode(_segment_keys(F.col("line"), min_chars)["key"]).alias("key"))
-    slot = F.pmod(F.col("key"), F.lit(FILTER_BITS))
-    tested = keyed.withColumn("bucket", F.bitmap_bucket_number(slot)).withColumn("bit", F.bitmap_bit_position(slot)).join(
-        bitmap, "bucket"
-    )
-    byte = F.conv(F.hex(F.substring("bits", (F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    mask = F.pow(F.lit(2), F.col("bit") % 8).cast("int")
-    hit = tested.filter(byte.bitwiseAND(mask) != 0)
-    return hit.groupBy("line").agg(F.min(F.struct("doc_key", "pos")).alias("first")).withColumn("h", _line_hash())
+    segments = F.explode(_segment_keys(F.col("line"), min_chars)["key"]).alias("key")
+    shared = lines.select(F.xxhash64("line").alias("x"), segments).groupBy("key").agg(
+        F.min("x").alias("least"), F.max("x").alias("most")
+    ).filter("least != most")
+    near = let_through(lines.select("*", segments), "key", key_filter(shared, "key"))
+    return near.groupBy("line").agg(F.min(F.struct("doc_key", "pos")).alias("first")).withColumn("h", _line_hash())
 
 
 def _pairs(rows, key):

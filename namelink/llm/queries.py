@@ -6,6 +6,7 @@ from ..sources import load_table
 from .bpe_shuffle import bpe_round_trip
 from .decontaminate import contamination_report
 from .line_dedup import line_dedup_report
+from .minhash import near_dedup
 from .quality import quality_rules
 from .token_files import token_file_round_trip
 
@@ -39,11 +40,16 @@ def op8_quality_rules(spark, sf_dir):
     return quality_rules(documents(spark, sf_dir))
 
 
+def op9_near_dedup(spark, sf_dir):
+    return near_dedup(documents(spark, sf_dir))
+
+
 def op10_line_dedup(spark, sf_dir):
     return line_dedup_report(documents(spark, sf_dir))
 
 
 QUERIES = {
+    "op9_near_dedup": op9_near_dedup,
     "op10_line_dedup": op10_line_dedup,
     "op2_token_files": op2_token_files,
     "op6_decontaminate": op6_decontaminate,

@@ -52,3 +52,31 @@ def filesystem(path):
     from pyarrow import fs
 
     return fs.FileSystem.from_uri(path if "://" in path else "file://" + path)
+
+
+#: Bits of a filter on keys: 2**26 bits are 8 MB however many keys there are.
+FILTER_BITS = 1 << 26
+
+
+def key_filter(keys, key):
+    """Bitmaps of a set of long keys, at most FILTER_BITS / 8 bytes whatever its size.
+
+    A bit may stand for other keys too: the filter lets through every key of the set and
+    some others, so what passes still needs the exact join.
+    """
+    slot = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+    return keys.select(
+        F.bitmap_bucket_number(slot).alias("_bucket"), F.bitmap_bit_position(slot).alias("_bit")
+    ).groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+
+
+def let_through(frame, key, bitmaps):
+    """Rows of ``frame`` whose key the filter knows; nothing is shuffled."""
+    slot = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+    bit = F.bitmap_bit_position(slot)
+    tested = frame.withColumn("_bucket", F.bitmap_bucket_number(slot)).withColumn("_bit", bit).join(
+        F.broadcast(bitmaps), "_bucket"
+    )
+    byte = F.conv(F.hex(F.substring("_bits", (F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    mask = F.pow(F.lit(2), F.col("_bit") % 8).cast("int")
+    return tested.filter(byte.bitwiseAND(mask) != 0).drop("_bucket", "_bit", "_bits")
