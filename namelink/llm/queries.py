@@ -8,6 +8,7 @@ from .decontaminate import contamination_report
 from .line_dedup import line_dedup_report
 from .minhash import near_dedup
 from .quality import quality_rules
+from .shared import ship_package
 from .token_files import token_file_round_trip
 
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -16,6 +17,7 @@ PAGES = "page_id bigint, url string, html string"
 
 
 def documents(spark, sf_dir):
+    ship_package(spark)
     return load_table(spark, f"{sf_dir}/documents.parquet", DOCUMENTS)
 
 

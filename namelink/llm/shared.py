@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -80,3 +82,20 @@ def let_through(frame, key, bitmaps):
     byte = F.conv(F.hex(F.substring("_bits", (F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     mask = F.pow(F.lit(2), F.col("_bit") % 8).cast("int")
     return tested.filter(byte.bitwiseAND(mask) != 0).drop("_bucket", "_bit", "_bits")
+
+
+_SHIPPED = set()
+
+
+def ship_package(spark):
+    """Give the Python workers this package, once per application, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="py-files-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
