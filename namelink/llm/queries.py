@@ -5,6 +5,7 @@ import public_tokenizers
 from ..sources import load_table
 from .bpe_shuffle import bpe_round_trip
 from .decontaminate import contamination_report
+from .langid import language_id
 from .line_dedup import line_dedup_report
 from .minhash import near_dedup
 from .quality import quality_rules
@@ -29,6 +30,10 @@ def op2_token_files(spark, sf_dir):
     return token_file_round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_language_id(spark, sf_dir):
+    return language_id(documents(spark, sf_dir))
+
+
 def op6_decontaminate(spark, sf_dir):
     return contamination_report(documents(spark, sf_dir), benchmark(spark, sf_dir))
 
@@ -54,6 +59,7 @@ QUERIES = {
     "op9_near_dedup": op9_near_dedup,
     "op10_line_dedup": op10_line_dedup,
     "op2_token_files": op2_token_files,
+    "op5_language_id": op5_language_id,
     "op6_decontaminate": op6_decontaminate,
     "op7_bpe_shuffle": op7_bpe_shuffle,
     "op8_quality_rules": op8_quality_rules,
