@@ -8,6 +8,7 @@ from .decontaminate import contamination_report
 from .langid import language_id
 from .line_dedup import line_dedup_report
 from .minhash import near_dedup
+from .pii import pii_report
 from .quality import quality_rules
 from .shared import ship_package
 from .token_files import token_file_round_trip
@@ -30,6 +31,10 @@ def op2_token_files(spark, sf_dir):
     return token_file_round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_pii(spark, sf_dir):
+    return pii_report(documents(spark, sf_dir))
+
+
 def op5_language_id(spark, sf_dir):
     return language_id(documents(spark, sf_dir))
 
@@ -59,6 +64,7 @@ QUERIES = {
     "op9_near_dedup": op9_near_dedup,
     "op10_line_dedup": op10_line_dedup,
     "op2_token_files": op2_token_files,
+    "op3_pii": op3_pii,
     "op5_language_id": op5_language_id,
     "op6_decontaminate": op6_decontaminate,
     "op7_bpe_shuffle": op7_bpe_shuffle,
