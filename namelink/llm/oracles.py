@@ -120,7 +120,26 @@ SELECT d.doc_id, count(j.pos) AS n_lines,
 FROM documents AS d LEFT JOIN judged AS j USING (doc_id) GROUP BY d.doc_id
 """
 
+OP4 = """
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS digest FROM pages
+), firsts AS (
+    SELECT page_id, octet_length(encode(html)) AS payload_bytes, digest,
+           min(page_id) OVER (PARTITION BY html) AS first
+    FROM payloads
+)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i:
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[
+               ((('0x' || digest[(i // 4) * 5 + 1:(i // 4) * 5 + 5])::INTEGER >> (15 - 5 * (i % 4))::INTEGER) & 31) + 1]
+       ), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM firsts
+"""
+
 ORACLES = {
+    "op4_warc": OP4,
     "op10_line_dedup": OP10,
     "op6_decontaminate": OP6,
     "op8_quality_rules": OP8,

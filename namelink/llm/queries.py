@@ -12,6 +12,7 @@ from .pii import pii_report
 from .quality import quality_rules
 from .shared import ship_package
 from .token_files import token_file_round_trip
+from .warc import warc_round_trip
 
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 BENCHMARK = "item_id bigint, text string"
@@ -35,6 +36,11 @@ def op3_pii(spark, sf_dir):
     return pii_report(documents(spark, sf_dir))
 
 
+def op4_warc(spark, sf_dir):
+    ship_package(spark)
+    return warc_round_trip(load_table(spark, f"{sf_dir}/pages.parquet", PAGES))
+
+
 def op5_language_id(spark, sf_dir):
     return language_id(documents(spark, sf_dir))
 
@@ -65,6 +71,7 @@ QUERIES = {
     "op10_line_dedup": op10_line_dedup,
     "op2_token_files": op2_token_files,
     "op3_pii": op3_pii,
+    "op4_warc": op4_warc,
     "op5_language_id": op5_language_id,
     "op6_decontaminate": op6_decontaminate,
     "op7_bpe_shuffle": op7_bpe_shuffle,
