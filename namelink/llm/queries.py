@@ -10,6 +10,7 @@ from .line_dedup import line_dedup_report
 from .minhash import near_dedup
 from .pii import pii_report
 from .quality import quality_rules
+from .secrets import secret_report
 from .shared import ship_package
 from .token_files import token_file_round_trip
 from .warc import warc_round_trip
@@ -28,6 +29,10 @@ def benchmark(spark, sf_dir):
     return load_table(spark, f"{sf_dir}/benchmark.parquet", BENCHMARK)
 
 
+def op1_secrets(spark, sf_dir):
+    return secret_report(documents(spark, sf_dir))
+
+
 def op2_token_files(spark, sf_dir):
     return token_file_round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -69,6 +74,7 @@ def op10_line_dedup(spark, sf_dir):
 QUERIES = {
     "op9_near_dedup": op9_near_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op1_secrets": op1_secrets,
     "op2_token_files": op2_token_files,
     "op3_pii": op3_pii,
     "op4_warc": op4_warc,
