@@ -206,10 +206,12 @@ class Labeller:
 
     def predict(self, texts):
         """(language, mean probability) per text; the unknown language where no word has letters."""
+        if not self.model.langs:
+            return [(UNKNOWN, 0.0)] * len(texts)
         posterior, per_text = self.posteriors(texts)
         found, at = [], 0
         for n in per_text:
-            if not n or not self.model.langs:
+            if not n:
                 found.append((UNKNOWN, 0.0))
                 continue
             mean = posterior[at:at + n].mean(axis=0)
