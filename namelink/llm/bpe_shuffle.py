@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from .bpe_words import parts_of
-from .shared import staged, text_rows
+from .shared import text_rows
 
 #: Characters of the texts in one block; a longer text is a block of its own.
 BLOCK_CHARS = 8_000_000
@@ -101,11 +101,18 @@ def _block_rows(name, doc_ids, texts, pattern, n_buckets):
     buckets = {}
     for word, number in words.numbers.items():
         raw = word.encode()
-        buckets.setdefault(zlib.crc32(raw) % n_buckets, ([], []))[0].append(number)
-        buckets[zlib.crc32(raw) % n_buckets][1].append(raw)
+        numbers, raws = buckets.setdefault(zlib.crc32(raw) % n_buckets, ([], []))
+        numbers.append(number)
+        raws.append(raw)
     for bucket, (numbers, raws) in buckets.items():
-        rows.append((name, bucket, pack(numbers, [len(r) for r in raws], b"".join(raws))))
-    return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), _PACKED)], schema=_PACKED)
+        # Local numbers rise within a bucket: their steps are small and compress well.
+        rows.append((name, bucket, pack(np.diff(numbers, prepend=0), [len(r) for r in raws], b"".join(raws))))
+    return _packed(rows)
+
+
+def _packed(rows):
+    columns = zip(*rows) if rows else ((), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, _PACKED)], schema=_PACKED)
 
 
 def _explode(pattern, n_buckets, block_chars):
@@ -132,13 +139,21 @@ def _split(raw, lengths):
     return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
 
+def _words_only(batches):
+    """Drop the documents of a block; a filter would be moved below the shuffle they share."""
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        yield batch.filter(pc.not_equal(batch.column("bucket"), DOCS_ROW))
+
+
 def _encode_bucket(ranks_file, pattern):
     """Encode each distinct word of a bucket once, and answer every block that has it."""
 
     def encode(table):
         encoder, known, rows = _encoding(ranks_file, pattern), {}, []
-        for block, payload in zip(table.column("block").to_pylist(), table.column("payload").to_pylist()):
-            numbers, lengths, raw = unpack(payload)
+        for block, bucket, payload in zip(*(table.column(c).to_pylist() for c in ("block", "bucket", "payload"))):
+            _, lengths, raw = unpack(payload)
             found = []
             for word in _split(raw, lengths):
                 ids = known.get(word)
@@ -146,23 +161,25 @@ def _encode_bucket(ranks_file, pattern):
                     known[word] = ids = encoder.encode_ordinary(word.decode())
                 found.append(ids)
             flat = np.fromiter(chain.from_iterable(found), "<u4")
-            rows.append((block, 0, pack(numbers, [len(x) for x in found], flat)))
-        return pa.Table.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), _PACKED)], schema=_PACKED)
+            rows.append((block, bucket, pack([len(x) for x in found], flat)))
+        return pa.Table.from_batches([_packed(rows)])
 
     return encode
 
 
-def _assemble(table):
+def _assemble(table, answers):
     """The documents of one block from their positions and the ids of its words."""
-    docs, lengths, at, ids = None, [], [], []
+    docs, numbers_of, lengths, at, ids = None, {}, [], [], []
     for bucket, payload in zip(table.column("bucket").to_pylist(), table.column("payload").to_pylist()):
         if bucket == DOCS_ROW:
             docs = unpack(payload)
         else:
-            numbers, n, flat = unpack(payload)
-            at.append(numbers)
-            lengths.append(n)
-            ids.append(flat)
+            numbers_of[bucket] = np.cumsum(unpack(payload)[0], dtype="i8")
+    for bucket, payload in zip(answers.column("bucket").to_pylist(), answers.column("payload").to_pylist()):
+        n, flat = unpack(payload)
+        at.append(numbers_of[bucket])
+        lengths.append(n)
+        ids.append(flat)
     doc_ids, known, n_words, run = docs
     size = np.zeros(sum(map(len, at)), "i8")
     starts = np.zeros(len(size), "i8")
@@ -194,12 +211,11 @@ def encode(docs, ranks_file, pattern, block_chars=BLOCK_CHARS, bucket_chars=BUCK
     rows = text_rows(docs)
     chars = rows.agg(F.coalesce(F.sum(F.length("text").cast("long")), F.lit(0))).first()[0]
     n_buckets = max(LEAST_BUCKETS, chars // bucket_chars + 1)
-    packed = staged(rows.mapInArrow(_explode(pattern, n_buckets, block_chars), PACKED), "bpe-blocks")
-    is_docs = F.col("bucket") == DOCS_ROW
-    answers = packed.filter(~is_docs).groupBy("bucket").applyInArrow(_encode_bucket(ranks_file, pattern), PACKED)
-    return packed.filter(is_docs).unionByName(answers).groupBy("block").applyInArrow(
-        _assemble, "doc_id bigint, ids binary"
+    packed = rows.mapInArrow(_explode(pattern, n_buckets, block_chars), PACKED).repartition("block")
+    answers = packed.mapInArrow(_words_only, PACKED).groupBy("bucket").applyInArrow(
+        _encode_bucket(ranks_file, pattern), PACKED
     )
+    return packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_assemble, "doc_id bigint, ids binary")
 
 
 def decode(encoded, ranks_file):
