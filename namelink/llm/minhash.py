@@ -3,8 +3,9 @@ full shingle sets confirm.
 
 Documents with equal sets are one node from the start. Nodes that share a band are first
 compared with one pivot of that band, another pivot in each, which joins groups of copies
-with a few links per node. What is left are pairs of one band in different components; they
-pass only if their low bits agree often enough, and are then confirmed on full sets too.
+with a few links per node. What is left are nodes that share a band with another component;
+they are paired by exact prefix and position filters and confirmed on full sets too, so no
+link between different texts is lost to the estimate or to the choice of pivots.
 """
 
 import numpy as np
@@ -27,6 +28,12 @@ MAX_MISMATCHES = 38
 #: Partners of one pivot that a task confirms at a time; groups of copies are cut by this.
 CHUNK = 256
 SALTS = 32
+#: Turns of linking nodes to pivots before all remaining pairs are sought.
+PIVOT_TURNS = 3
+#: Slots of the table that orders shingles by rarity.
+RARITY_SLOTS = 1 << 20
+#: Bits of the parities that bound from below how many shingles two sets do not share.
+PARITY_BITS = 512
 
 FEATURES = "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>, bits array<bigint>"
 _FEATURES = pa.schema([
@@ -198,13 +205,14 @@ def _shared_bands(nodes):
     return shared.join(nodes.select("node", F.struct("n", "bits").alias("s")), "node")
 
 
-def _star_pairs(shared):
-    """Each node with the most alike of the pivots of its bands."""
-    pivots = shared.groupBy("key").agg(
-        F.min_by(F.struct("node", "s"), F.xxhash64("key", "node")).alias("pivot")
+def _star_pairs(shared, found, turn):
+    """Each node with the most alike of its bands' pivots in other components."""
+    placed = shared.join(found, "node", "left").withColumn("c", F.coalesce("component", "node"))
+    pivots = placed.groupBy("key").agg(
+        F.min_by(F.struct("node", "s", "c"), F.xxhash64("key", "node", F.lit(turn))).alias("pivot")
     )
-    met = shared.join(pivots, "key").filter(
-        (F.col("node") != F.col("pivot.node")) & _may_match(F.col("s"), F.col("pivot.s"))
+    met = placed.join(pivots, "key").filter(
+        (F.col("c") != F.col("pivot.c")) & _may_match(F.col("s"), F.col("pivot.s"))
     )
     far = _mismatches(F.col("s"), F.col("pivot.s"))
     return met.groupBy("node").agg(F.min(F.struct(far.alias("far"), F.col("pivot.node").alias("pivot"))).alias("best")).select(
@@ -212,16 +220,102 @@ def _star_pairs(shared):
     )
 
 
-def _open_pairs(shared, found):
-    """Pairs of one band in different components that may match."""
+def _star_links(shared, sets):
+    """Links to pivots, in a few turns with other pivots each, and their components."""
+    spark = shared.sparkSession
+    links = spark.createDataFrame([], "a bigint, b bigint")
+    found = spark.createDataFrame([], "node bigint, component bigint")
+    for turn in range(PIVOT_TURNS):
+        links = links.unionByName(staged(confirmed(_star_pairs(shared, found, turn), sets), "links"))
+        found = components(links)
+    return links, found
+
+
+def _open_nodes(shared, found):
+    """(node, c) of nodes that share a band with a node of another component."""
     placed = shared.join(found.select("node", "component"), "node", "left").select(
-        "key", "node", "s", F.coalesce("component", "node").alias("c")
+        "key", "node", F.coalesce("component", "node").alias("c")
     )
     split = placed.groupBy("key").agg(F.min("c").alias("least"), F.max("c").alias("most")).filter("least != most")
-    still = placed.join(split.select("key"), "key", "left_semi")
-    a, b = still.alias("a"), still.alias("b")
-    return a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.c") < F.col("b.c"))
-                  & _may_match(F.col("a.s"), F.col("b.s"))).select(
+    return placed.join(split.select("key"), "key", "left_semi").select("node", "c").distinct()
+
+
+def _slot_counts(batches):
+    counts = np.zeros(RARITY_SLOTS, "i8")
+    for batch in batches:
+        for shingles in batch.column("shingles").to_pylist():
+            np.add.at(counts, (np.frombuffer(shingles, "u8") % np.uint64(RARITY_SLOTS)).astype("i8"), 1)
+    seen = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(counts[seen], pa.int64())], ["slot", "n"])
+
+
+def rarity(sets):
+    """How often shingles of each hash slot occur: a bounded table, whatever the corpus."""
+    rows = sets.mapInArrow(_slot_counts, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(RARITY_SLOTS, "i8")
+    counts[rows.column("slot").to_numpy()] = rows.column("n").to_numpy()
+    return sets.sparkSession.sparkContext.broadcast(counts)
+
+
+def parities(hashes):
+    """One bit per slot: whether an odd number of the hashes fall into it.
+
+    Every element that two sets do not share flips one bit, so sets differ in at least as
+    many elements as their parities differ in bits.
+    """
+    slots = ((hashes >> np.uint64(20)) % np.uint64(PARITY_BITS)).astype("i8")
+    odd = (np.bincount(slots, minlength=PARITY_BITS) & 1).astype("u1")
+    return np.packbits(odd, bitorder="little").view("<i8")
+
+
+def _prefixes(counts):
+    def cut(batches):
+        table = counts.value
+        for batch in batches:
+            nodes, components_, tokens, positions, sizes, odd = [], [], [], [], [], []
+            for node, c, shingles in zip(*(batch.column(x).to_pylist() for x in ("node", "c", "shingles"))):
+                hashes = np.frombuffer(shingles, "u8")
+                n = len(hashes)
+                order = np.lexsort((hashes, table[(hashes % np.uint64(RARITY_SLOTS)).astype("i8")]))
+                kept = n - -(-SIMILARITY * n // 100) + 1
+                tokens.append(hashes[order[:kept]].view("i8"))
+                positions.append(np.arange(kept))
+                nodes.append(np.full(kept, node))
+                components_.append(np.full(kept, c))
+                sizes.append(np.full(kept, n))
+                odd.append(np.broadcast_to(parities(hashes), (kept, PARITY_BITS // 64)))
+            columns = [np.concatenate(x) if x else np.zeros(0, "i8") for x in (tokens, nodes, components_, sizes, positions)]
+            offsets = np.arange(len(columns[0]) + 1, dtype="i4") * (PARITY_BITS // 64)
+            flat = np.concatenate(odd).ravel() if odd else np.zeros(0, "i8")
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(x.astype("i8"), pa.int64()) for x in columns),
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["token", "node", "c", "n", "pos", "odd"]
+            )
+
+    return cut
+
+
+def _open_pairs(open_nodes, sets):
+    """Pairs of different components that may still be similar enough, by exact filters.
+
+    Shingles are ordered by rarity. Two sets that are similar enough share one of their
+    rarest fifth, from the first that they share on enough shingles are left in both, and
+    their parities differ in no more bits than the sets may differ in elements. Sets that
+    differ a little too much fail there without being paired, which keeps groups of almost
+    similar texts from giving all their pairs.
+    """
+    rows = sets.join(open_nodes, "node").select("node", "c", "shingles").mapInArrow(
+        _prefixes(rarity(sets)), "token bigint, node bigint, c bigint, n bigint, pos bigint, odd array<bigint>"
+    )
+    a, b = rows.alias("a"), rows.alias("b")
+    left = F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos"))
+    total = F.col("a.n") + F.col("b.n")
+    fits = (left * (100 + SIMILARITY) >= SIMILARITY * total) & (
+        100 * F.least("a.n", "b.n") >= SIMILARITY * F.greatest("a.n", "b.n")
+    )
+    differ = sum((F.bit_count(F.col("a.odd")[k].bitwiseXOR(F.col("b.odd")[k])) for k in range(PARITY_BITS // 64)), F.lit(0))
+    fits = fits & ((100 + SIMILARITY) * differ <= (100 - SIMILARITY) * total)
+    return a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.c") < F.col("b.c")) & fits).select(
         F.col("a.node").alias("a"), F.col("b.node").alias("b")
     ).distinct()
 
@@ -247,8 +341,9 @@ def near_dedup(docs):
             _sets, "node bigint, shingles binary"
         ), "shingle-sets",
     )
-    links = staged(confirmed(_star_pairs(shared), sets), "links")
-    more = confirmed(_open_pairs(shared, components(links)), sets)
+    links, stars = _star_links(shared, sets)
+    open_nodes = staged(_open_nodes(shared, stars), "open-nodes")
+    more = confirmed(_open_pairs(open_nodes, sets), sets)
     found = components(links.unionByName(more))
     salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))
     placed = groups.join(found, "node", "left").select(
@@ -261,7 +356,8 @@ def near_dedup(docs):
         .join(placed, ["set_key", "salt"], "left")
         .select(
             "doc_id", "n_shingles",
-            F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
+            F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.coalesce("component_id", "doc_id"))
+            .otherwise(F.col("doc_id")).alias("component_id"),
         )
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
