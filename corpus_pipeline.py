@@ -41,7 +41,7 @@ def language_stage(spark, docs, sf_dir):
 
 def line_stage(spark, docs, sf_dir):
     """Drop repeated and almost repeated lines; a text of nothing else goes as a whole."""
-    found = dedup_lines(docs)
+    found = staged(dedup_lines(docs), "line-dedup")  # else the filter below repeats its work
     dropped = F.col("n_dropped_equal") + F.col("n_dropped_near")
     empty = F.coalesce(F.trim("doc.text"), F.lit("")) == ""
     return found.filter(~(empty & (dropped > 0))).select("doc.*").select(docs.columns)
