@@ -7,7 +7,7 @@ import corpus_pipeline
 import duckdb
 import public_tokenizers as tokens
 import pytest
-from helpers import awkward_texts, frame, lower_ascii, near_components, shingle_sets
+from corpus_cases import awkward_texts, frame, lower_ascii, near_components, shingle_sets
 from test_dedup import brute_hits, brute_lines
 from test_tokens import encoding  # noqa: F401
 

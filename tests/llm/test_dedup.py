@@ -6,7 +6,7 @@ import re
 from collections import Counter
 
 import pytest
-from helpers import awkward_texts, frame, lower_ascii, near_components, prose, shingle_sets, within_one_edit
+from corpus_cases import awkward_texts, frame, lower_ascii, near_components, prose, shingle_sets, within_one_edit
 
 from namelink.llm import line_dedup, minhash
 from namelink.llm.components import components

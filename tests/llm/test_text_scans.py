@@ -6,7 +6,7 @@ import re
 from collections import Counter
 
 import pytest
-from helpers import awkward_texts, frame, prose
+from corpus_cases import awkward_texts, frame, prose
 from pyspark.sql import functions as F
 
 from namelink.llm import langid, pii, secrets

@@ -11,7 +11,7 @@ import numpy as np
 import public_tokenizers as tokens
 import pytest
 import tiktoken
-from helpers import awkward_texts, frame
+from corpus_cases import awkward_texts, frame
 from tokenizers import Tokenizer
 
 from namelink.llm.bpe_shuffle import bpe_round_trip, decode, encode, pack, unpack
