@@ -20,15 +20,34 @@ def parts_of(text):
     return [first, *parts] if first else parts
 
 
+ENDS = (",", ".")
+
+
 class PartCache(dict):
-    """What ``encode`` gives for a part; emptied when it holds ``limit`` parts."""
+    """What ``encode`` gives for parts; emptied before it grows beyond ``limit`` parts."""
 
     def __init__(self, encode, limit=300_000):
         super().__init__()
         self.encode, self.limit = encode, limit
 
-    def __missing__(self, part):
+    def of_all(self, lists):
+        """What the parts of each list give, joined; unknown parts are encoded in one call."""
         if len(self) >= self.limit:
             self.clear()
-        self[part] = found = self.encode(part)
-        return found
+        known = self.get
+        found = [[known(p) for p in parts] for parts in lists]
+        lacking = [k for k, values in enumerate(found) if None in values]
+        if lacking:
+            self._learn({p for k in lacking for p, value in zip(lists[k], found[k]) if value is None})
+            for k in lacking:
+                found[k] = [self[p] for p in lists[k]]
+        return [b"".join(values) for values in found]
+
+    def _learn(self, new):
+        """A comma or full stop after a letter is a pre-token of its own, so such a part is
+        put together from the part without it, which is often known already."""
+        ended = {p for p in new if p[-1:] in ENDS and p[-2:-1].isalpha()}
+        stems = {p[:-1] for p in ended if p[:-1] not in self}
+        whole = [*(new - ended | stems | set(ENDS))]
+        self.update(zip(whole, self.encode(whole)))
+        self.update([(p, self[p[:-1]] + self[p[-1]]) for p in ended])

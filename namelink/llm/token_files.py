@@ -15,9 +15,11 @@ Any Zstandard decoder reads the whole file; a reader that wants some documents f
 frames in the two tables and decompresses only those.
 """
 
+import os
 import struct
 import uuid
 import zlib
+from array import array
 from bisect import bisect_left
 from functools import lru_cache
 
@@ -27,13 +29,17 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .bpe_words import PartCache, parts_of
-from .shared import filesystem, new_folder, staged, text_rows
+from .shared import filesystem, new_folder, pieces, staged, text_rows
 
 INDEX_MAGIC, SEEK_MAGIC, FOOTER_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 CHECKSUMS = 0x80
 FRAME_BYTES = 1 << 18
 ENTRY, INDEX, DOC = struct.Struct("<III"), struct.Struct("<qBQQ"), np.dtype([("id", "<i8"), ("has", "u1"), ("n", "<u4")])
 END_ID = 0
+#: Documents whose new parts are encoded in one call.
+ENCODE_DOCS = 64
+#: New parts that are encoded as one string, and the sign of a space in the vocabulary.
+JOINED_PARTS, SPACE = 200, "\u0120"
 
 MANIFEST = "path string, first_id bigint, n_docs bigint, n_tokens bigint"
 
@@ -136,14 +142,34 @@ class TokenFile:
 
 @lru_cache(maxsize=4)
 def _encoder(tokenizer_file):
-    """Ids of a text part as bytes, remembered by this worker across its tasks."""
+    """Ids of text parts as bytes, remembered by this worker across its tasks."""
     from tokenizers import Tokenizer
 
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
     tokenizer = Tokenizer.from_file(tokenizer_file)
     tokenizer.encode_special_tokens = True
 
-    def encode(part):
-        return np.array(tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
+    starts = np.zeros(tokenizer.get_vocab_size(), bool)
+    starts[[i for token, i in tokenizer.get_vocab().items() if token.startswith(SPACE)]] = True
+
+    def each(parts):
+        return [array("I", x.ids).tobytes() for x in tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+
+    def encode(parts):
+        # Parts with no space but a leading one can stand in one string: only the first
+        # token of each starts with a space, which tells where to cut the ids again.
+        single = [p for p in parts if p.rfind(" ") == 0 and len(p) > 1]
+        found = dict(zip(others := [p for p in parts if p.rfind(" ") != 0 or len(p) == 1], each(others)))
+        for at in range(0, len(single), JOINED_PARTS):
+            own = single[at:at + JOINED_PARTS]
+            ids = np.array(tokenizer.encode_batch_fast(["".join(own)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.flatnonzero(starts[ids])
+            if len(cuts) != len(own):
+                found.update(zip(own, each(own)))
+                continue
+            raw, ends = ids.tobytes(), (4 * np.append(cuts, len(ids))).tolist()
+            found.update(zip(own, [raw[a:b] for a, b in zip(ends, ends[1:])]))
+        return [found[p] for p in parts]
 
     return PartCache(encode)
 
@@ -153,15 +179,19 @@ def _writer(folder, tokenizer_file, end_id, level, frame_bytes):
 
     def write(batches):
         cache, writer, path = _encoder(tokenizer_file), None, None
-        for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+        for batch in pieces(batches):
+            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+            for at in range(0, len(texts), ENCODE_DOCS):
+                parts = [parts_of(text) for text in texts[at:at + ENCODE_DOCS]]
+                encoded = cache.of_all(parts)
                 if writer is None:
                     fs, base = filesystem(folder)
                     fs.create_dir(base, recursive=True)
                     name = f"tokens-{uuid.uuid4().hex}.zst"
                     path = f"{folder}/{name}"
                     writer = TokenFileWriter(fs.open_output_stream(f"{base}/{name}", compression=None), level, frame_bytes)
-                writer.add(doc_id, b"".join([cache[p] for p in parts_of(text)]) + end)
+                for doc_id, own in zip(ids[at:at + ENCODE_DOCS], encoded):
+                    writer.add(doc_id, own + end)
         if writer is not None:
             writer.close()
             yield pa.RecordBatch.from_pylist(
