@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from .bpe_words import parts_of
-from .shared import text_rows
+from .shared import pieces, text_rows
 
 #: Characters of the texts in one block; a longer text is a block of its own.
 BLOCK_CHARS = 8_000_000
@@ -120,7 +120,7 @@ def _explode(pattern, n_buckets, block_chars):
         from pyspark import TaskContext
 
         part, k, ids, texts, held = TaskContext.get().partitionId(), 0, [], [], 0
-        for batch in batches:
+        for batch in pieces(batches):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 if held and held + len(text) > block_chars:
                     yield _block_rows(f"{part}-{k}", ids, texts, pattern, n_buckets)
@@ -223,7 +223,7 @@ def decode(encoded, ranks_file):
 
     def join(batches):
         table = load_ranks(ranks_file)[1]
-        for batch in batches:
+        for batch in pieces(batches):
             found = [
                 None if ids is None else b"".join([table[i] for i in np.frombuffer(ids, "<u4").tolist()])
                 for ids in batch.column("ids").to_pylist()

@@ -11,6 +11,8 @@ by shifts and compares window and text directly wherever the shift is zero.
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from .shared import pieces
+
 WINDOW = 10
 BLOCK_WORDS = 3
 #: Benchmark text in one block of patterns, in characters; a block is held by each worker.
@@ -107,7 +109,7 @@ def _searcher(block):
 
     def search(batches):
         tables = build_tables(block.value)
-        for batch in batches:
+        for batch in pieces(batches):
             texts = batch.column("text")
             n_words, n_hit, all_ranges, all_items = [], [], [], []
             earlier = zip(batch.column("hit_ranges").to_pylist(), batch.column("items").to_pylist())
@@ -175,6 +177,24 @@ def decontaminate(docs, benchmark, block_chars=BLOCK_CHARS):
     return found
 
 
+def drop_contaminated(docs, benchmark, block_chars=BLOCK_CHARS):
+    """Rows of ``docs`` in which no benchmark window occurs; nothing is shuffled."""
+
+    def dropper(block):
+        def drop(batches):
+            tables = build_tables(block.value)
+            for batch in pieces(batches):
+                texts = batch.column("text").cast(pa.binary()).to_pylist()
+                clean = [not any(t.search(tuple(words_of(x or b""))) for t in tables) for x in texts]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+
+        return drop
+
+    for block in pattern_blocks(benchmark, block_chars=block_chars):
+        docs = docs.mapInArrow(dropper(block), docs.schema)
+    return docs
+
+
 def contamination_report(docs, benchmark, block_chars=BLOCK_CHARS):
     """The digest per document: counts of words, hits and items, and the items' hash."""
     return decontaminate(docs, benchmark, block_chars).select(

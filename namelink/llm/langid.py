@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from .shared import pieces
+
 #: The labelled sample: documents per language (about), lines per language and words per line.
 SAMPLE_DOCS, SAMPLE_LINES, SAMPLE_WORDS = 400, 1500, 60
 LEXICON_WORDS = 400
@@ -256,7 +258,7 @@ def predict_languages(docs, model):
 
     def predict(batches):
         labeller = Labeller(shared.value)
-        for batch in batches:
+        for batch in pieces(batches):
             ids, texts = batch.column("doc_id"), batch.column("text").to_pylist()
             found, own, held = [], [], 0
             for text in texts:
@@ -274,6 +276,19 @@ def predict_languages(docs, model):
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(predict, RESULT)
 
 
+def keep_languages(docs, model, least_score):
+    """Rows of ``docs`` whose text has a language with at least this score; nothing is shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches):
+        labeller = Labeller(shared.value)
+        for batch in pieces(batches):
+            found = labeller.predict([t or "" for t in batch.column("text").to_pylist()])
+            yield batch.filter(pa.array([lang != UNKNOWN and score >= least_score for lang, score in found], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def language_id(docs):
     """Learn from the labelled documents outside the held-out fold and predict all."""
     model = train(labelled_sample(docs))

@@ -14,7 +14,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import key_filter, let_through, staged, text_rows
+from .shared import key_filter, let_through, pieces, staged, text_rows
 
 SHINGLE_WORDS = 4
 SIMILARITY = 80
@@ -105,7 +105,7 @@ def low_bits(least):
 def _features(batches):
     from xxhash import xxh128_digest
 
-    for batch in batches:
+    for batch in pieces(batches):
         sizes, keys, least = [], [], np.zeros((len(batch), HASHES), "u4")
         for row, text in enumerate(batch.column("text").cast(pa.binary()).to_pylist()):
             hashes = shingle_set(text)
@@ -124,7 +124,7 @@ def _features(batches):
 
 
 def _sets(batches):
-    for batch in batches:
+    for batch in pieces(batches):
         sets = [shingle_set(t).tobytes() for t in batch.column("text").cast(pa.binary()).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], ["node", "shingles"])
 

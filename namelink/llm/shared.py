@@ -84,6 +84,13 @@ def let_through(frame, key, bitmaps):
     return tested.filter(byte.bitwiseAND(mask) != 0).drop("_bucket", "_bit", "_bits")
 
 
+def pieces(batches, rows=512):
+    """Arrow batches in pieces of few rows, so that few texts at a time become Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 _SHIPPED = set()
 
 
