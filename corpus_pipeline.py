@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from namelink.llm.bpe_shuffle import decode, encode
-from namelink.llm.decontaminate import decontaminate
-from namelink.llm.langid import UNKNOWN, labelled_sample, predict_languages, train
+from namelink.llm.decontaminate import drop_contaminated
+from namelink.llm.langid import keep_languages, labelled_sample, train
 from namelink.llm.line_dedup import dedup_lines
 from namelink.llm.minhash import near_dedup
 from namelink.llm.queries import benchmark, documents
@@ -34,9 +34,7 @@ def _keep(docs, verdicts):
 def language_stage(spark, docs, sf_dir):
     """Drop documents without a language: no letters, or no language that fits."""
     ship_package(spark)
-    found = predict_languages(docs, train(labelled_sample(docs)))
-    kept = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
-    return _keep(docs, found.select("doc_id", kept.alias("kept")))
+    return keep_languages(docs, train(labelled_sample(docs)), LEAST_LANGUAGE_SCORE)
 
 
 def line_stage(spark, docs, sf_dir):
@@ -54,8 +52,7 @@ def near_copy_stage(spark, docs, sf_dir):
 
 def benchmark_stage(spark, docs, sf_dir):
     """Drop documents that hold a passage of a benchmark item."""
-    found = decontaminate(docs, benchmark(spark, sf_dir))
-    return _keep(docs, found.select("doc_id", (F.col("n_hit") == 0).alias("kept")))
+    return drop_contaminated(docs, benchmark(spark, sf_dir))
 
 
 def token_stage(spark, docs, sf_dir):
