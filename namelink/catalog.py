@@ -40,6 +40,9 @@ from .schemas import ENTITY_INDEX
 from .sources import check_constraints, publish_index, read_index, seed_entities
 from .sources.publish import new_index_path
 
+#: Rows that the top_candidates query keeps per search; the limit is its feature.
+TOP_CANDIDATES = 20
+
 
 # --- inputs -----------------------------------------------------------------
 
@@ -183,7 +186,7 @@ def party_scores(spark, d):
 
 def totals(spark, d):
     pairs, searches = searched_pairs(spark, d)
-    return claim_search.totals_per_party(claim_search.limited_candidates(pairs), searches)
+    return claim_search.totals_per_pair(pairs, searches)
 
 
 def party_matches(spark, d):
@@ -405,7 +408,7 @@ QUERIES = {
     "match_rank": lambda s, d: match_rank(totals(s, d)).select(
         "search_id", "party_id", "total_distance", "rank"),
     "sorted_matches": lambda s, d: entity_search.sorted_matches(entity_matches(s, d)),
-    "top_candidates": lambda s, d: claim_search.limited_candidates(searched_pairs(s, d)[0]).select(
+    "top_candidates": lambda s, d: claim_search.limited_candidates(searched_pairs(s, d)[0], TOP_CANDIDATES).select(
         "search_id", "party_id", "weight", "score"),
     "top_n": lambda s, d: top_n(totals(s, d)).select(
         "search_id", "party_id", "total_distance", "rank"),

@@ -11,7 +11,7 @@ from .operators import eligible_parties, fragment_union
 from .schemas import CLAIM, ENTITY, MEMBER, PARTY, PARTY_INDEX, RELATIONSHIP, WEIGHT
 from .sources import conform, load_table
 
-TWO_WORDS = "^([A-Za-z]+)[^A-Za-z]+([A-Za-z]+)"
+WORD = "[A-Za-z]+"
 OLD_USER = 7
 NEW_USER = 5150
 
@@ -40,13 +40,18 @@ def table(spark, sf_dir, name):
     return load_table(spark, f"{sf_dir}/{name}.parquet", TABLES[name])
 
 
-def names(spark, sf_dir):
-    def word(n):
-        return F.nullif(F.regexp_extract("text", TWO_WORDS, n), F.lit(""))
+def two_words(text):
+    """The two distinct words of a whole text that have the smallest hashes."""
+    words = F.array_distinct(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
+    ranked = F.sort_array(F.transform(words, lambda w: F.struct(F.md5(w).alias("h"), w.alias("w"))))
+    return F.transform(F.slice(ranked, 1, 2), lambda x: x["w"])
+
 
+def names(spark, sf_dir):
+    """Two words of each document, chosen by their hashes from all words of its text."""
     return table(spark, sf_dir, "documents").select(
-        "doc_id", "lang", word(1).alias("w1"), word(2).alias("w2")
-    )
+        "doc_id", "lang", two_words("text").alias("words")
+    ).select("doc_id", "lang", F.get("words", F.lit(0)).alias("w1"), F.get("words", F.lit(1)).alias("w2"))
 
 
 def entities(spark, sf_dir):
@@ -63,10 +68,8 @@ def entities(spark, sf_dir):
 
 
 def terms(spark, sf_dir):
-    word = [F.regexp_extract("text", TWO_WORDS, n) for n in (1, 2)]
     return table(spark, sf_dir, "benchmark").select(
-        F.col("item_id").alias("query_id"),
-        F.concat(word[0], F.lit(" "), word[1]).alias("search_term"),
+        F.col("item_id").alias("query_id"), F.array_join(two_words("text"), " ").alias("search_term")
     )
 
 

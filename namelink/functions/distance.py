@@ -3,14 +3,13 @@
 from pyspark.sql import functions as F
 
 from ..schemas import SCORE, WEIGHT
-from .text import _column, dob_text
+from .text import _column, dob_text, upper_letters
 
 
 def levenshtein_sql(left, right):
     """Lenient edit distance: an empty or NULL left side costs nothing, an empty or
     NULL right side costs the left length; case and trailing blanks do not count."""
-    left = F.upper(F.rtrim(_column(left)))
-    right = F.upper(F.rtrim(_column(right)))
+    left, right = (upper_letters(F.rtrim(_column(x))) for x in (left, right))
     return (
         F.when(left.isNull() | (left == ""), F.lit(0))
         .when(right.isNull(), F.length(left))

@@ -19,8 +19,6 @@ from pyspark.sql import functions as F
 from ..schemas import VARIANT_WEIGHTS
 from .text import SUFFIX_PATTERN, _column, bind
 
-MAX_LENGTH = 50
-
 # Endings and their replacements, each applied once.
 _ENDINGS = [
     (r"([IE])X\z", "$1C"),
@@ -43,13 +41,15 @@ def _replace_all(text, pairs):
     return text
 
 
-def cleaned_name(name):
-    """Upper-case letters and digits of the first 50 characters, suffix removed.
+def cleaned_name(name, max_length=None):
+    """Upper-case letters and digits of a name, suffix removed.
 
     Suffix and special characters go in one pattern; what remains is ASCII, so
     upper-casing cannot turn another letter into an ASCII one.
     """
-    text = F.substring(F.coalesce(_column(name), F.lit("")), 1, MAX_LENGTH)
+    text = F.coalesce(_column(name), F.lit(""))
+    if max_length is not None:
+        text = F.left(text, F.lit(max_length))
     return F.upper(F.regexp_replace(text, f"{SUFFIX_PATTERN}|[^A-Za-z0-9]", ""))
 
 
@@ -70,7 +70,7 @@ def _rewrite_ends(text):
 def _rewrite_letters(text):
     """Letter codes of a text in which digraphs are already rewritten."""
     head = _replace_all(F.left(text, F.lit(1)), _LETTERS)
-    tail = F.substring(text, 2, MAX_LENGTH)
+    tail = F.substring(text, F.lit(2), F.length(text))
     tail = F.regexp_replace(tail, "H(?=[AEIOU])", "")  # judged on the unchanged vowel
     tail = F.regexp_replace(tail, "Y(?=.)", "A")  # a final Y stays
     tail = _replace_all(tail, _LETTERS + _LATER_LETTERS)
@@ -86,14 +86,17 @@ def _code_of(cleaned):
         code,
         lambda code: F.when(
             first.isin("A", "E", "I", "O", "U"),
-            F.concat(first, F.substring(code, 2, MAX_LENGTH)),
+            F.concat(first, F.substring(code, F.lit(2), F.length(code))),
         ).otherwise(code),
     )
 
 
-def nysiis(name):
-    """Phonetic code of a name; never NULL, ``''`` when nothing is left."""
-    return bind(cleaned_name(name), _code_of)
+def nysiis(name, max_length=None):
+    """Phonetic code of a name; never NULL, ``''`` when nothing is left.
+
+    The whole name counts unless ``max_length`` says how many characters do.
+    """
+    return bind(cleaned_name(name, max_length), _code_of)
 
 
 def fragment_columns(code):

@@ -102,3 +102,11 @@ def name_alias(last_name, first_name, aliases=None):
         new_last = F.when(hit, F.lit(last)).otherwise(new_last)
         new_first = F.when(hit, F.lit(first)).otherwise(new_first)
     return new_last, new_first
+
+
+def upper_letters(text):
+    """Upper case letter by letter; a letter whose upper case is several letters stays."""
+    text = _column(text)
+    whole = F.upper(text)
+    each = F.transform(F.split(text, ""), lambda c: F.when(F.length(F.upper(c)) == 1, F.upper(c)).otherwise(c))
+    return F.when(F.length(whole) == F.length(text), whole).otherwise(F.array_join(each, ""))

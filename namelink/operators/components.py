@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from ..sources.publish import shared_folder
-from .hot_keys import join_groups
 
 
 def durable(frame):
@@ -18,10 +17,10 @@ def _large_star(links):
     """Point every larger neighbour of a node at the smallest node around it."""
     both = links.unionByName(links.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     smallest = both.groupBy("src").agg(
-        F.least("src", F.min("dst")).alias("root"), F.count(F.lit(1)).alias("degree")
+        F.least("src", F.min("dst")).alias("root")
     )
     return (
-        join_groups(both.filter(F.col("dst") > F.col("src")), smallest, ["src"], "degree")
+        both.filter(F.col("dst") > F.col("src")).join(smallest, "src")
         .select(F.col("dst").alias("src"), F.col("root").alias("dst"))
         .distinct()
     )
@@ -29,11 +28,9 @@ def _large_star(links):
 
 def _small_star(links):
     """Point a node and its smaller neighbours at the smallest of them."""
-    smallest = links.groupBy("src").agg(
-        F.min("dst").alias("root"), F.count(F.lit(1)).alias("degree")
-    )
+    smallest = links.groupBy("src").agg(F.min("dst").alias("root"))
     moved = (
-        join_groups(links, smallest, ["src"], "degree")
+        links.join(smallest, "src")
         .filter(F.col("dst") != F.col("root"))
         .select(F.col("dst").alias("src"), F.col("root").alias("dst"))
     )

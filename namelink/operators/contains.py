@@ -1,20 +1,15 @@
 """Containment ("the query code contains the index fragment") as an equi join.
 
 Every distinct substring of a query code becomes one *probe* that meets the index on
-plain equality. A code has at most 50 letters, so a query gives at most 1,275 probes;
-no nested-loop or cross join is planned.
+plain equality; no nested-loop or cross join is planned.
 
-The planner does not see how many rows an explode adds, so it must not choose the join
-by itself: the probes are counted first. Few probes are broadcast and the index stays
-where it is; otherwise both sides are shuffled and sort-merged, where adaptive
-execution splits the partitions of very common fragments on both sides.
+The planner does not see how many rows an explode adds, so it must not decide by itself to
+send the probes whole: both sides are shuffled and sort-merged, where adaptive execution
+splits the partitions of very common fragments on both sides.
 """
 
 from pyspark.sql import functions as F
 
-# A probe row takes about 100 bytes, so at most some 10 MB are broadcast.
-BROADCAST_PROBES = 100_000
-
 
 def substrings(code, keep_empty=False):
     """Distinct substrings of a code column; ``''`` only with ``keep_empty``."""
@@ -33,29 +28,15 @@ def substrings(code, keep_empty=False):
     return F.array_union(pieces, F.array(F.lit(""))) if keep_empty else pieces
 
 
-def probe_count(queries, *codes):
-    """Upper bound of the number of probes: all substrings of all codes."""
-    total = F.lit(0).cast("bigint")
-    for code in codes:
-        n = F.length(code).cast("bigint")
-        total = total + n * (n + 1) / 2
-    return queries.agg(F.coalesce(F.sum(total), F.lit(0))).first()[0]
-
-
-def join_probes(probes, n_probes, index, on):
-    """Inner join of probes with the index; the probe side is sent whole if small."""
-    if n_probes <= BROADCAST_PROBES:
-        return F.broadcast(probes).join(index, on)
+def join_probes(probes, index, on):
+    """Inner join of probes with the index."""
     return probes.hint("merge").join(index, on)
 
 
-def contains_join(queries, index, code="code", n_probes=None):
+def contains_join(queries, index, code="code"):
     """Pair each query with every index row whose fragment its code contains.
 
     ``queries`` needs the code column; all columns of both sides are kept.
     """
-    if n_probes is None:
-        n_probes = probe_count(queries, code)
     probes = queries.withColumn("_fragment", F.explode(substrings(F.col(code))))
-    on = F.col("_fragment") == F.col("phonetic_name")
-    return join_probes(probes, n_probes, index, on).drop("_fragment")
+    return join_probes(probes, index, F.col("_fragment") == F.col("phonetic_name")).drop("_fragment")

@@ -3,28 +3,19 @@
 A result row is the best index row (highest weight) per search and displayed value
 (type, value 1, value 2).
 
-A small batch of terms is broadcast to the index; only matched rows move on to meet
-their entities. For a large batch the index is prepared, so that the join itself yields
-each (search, value) pair once instead of once per matching index row:
-
-1. equal values and codes collapse to one row (partial aggregation, so copies of one
-   value do not travel),
-2. each remaining row lists the codes that outrank it within its value, and a pair is
-   kept only when the search contains none of them.
-
-No shuffle follows that join. A value has at most eight codes when the index was built
-from the same entities; values with more (a stale index) take a second path, which
-pairs and then aggregates.
+Hits of the index move on to meet their entities, and the best one per search and value is
+kept in one aggregation. Where many batches are searched, the index can be prepared once:
+each row lists the codes that outrank it within its value, so that the join itself yields
+each (search, value) pair once and no shuffle follows it.
 """
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import display_name, levenshtein_sql, nysiis
-from ..operators import contains, contains_join, without_empty_codes
+from ..operators import contains_join, without_empty_codes
 
 VALUE = ["entity_type", "entity_value1", "entity_value2"]
-MAX_CODES = 8
 
 
 def encoded_terms(terms):
@@ -65,14 +56,12 @@ def prepare_entity_search(entities, index):
         .agg(F.min(_rank_key()).alias("best"))
         .select(*VALUE, "best")
     )
-    per_value = Window.partitionBy(*VALUE)
-    ranked = per_value.orderBy("best")
+    ranked = Window.partitionBy(*VALUE).orderBy("best")
     return best.select(
         *VALUE,
         *_unpack(F.col("best")),
         F.collect_list(F.col("best.phonetic_name"))
-        .over(ranked.rowsBetween(-MAX_CODES, -1)).alias("better_codes"),
-        F.count(F.lit(1)).over(per_value).alias("n_codes"),
+        .over(ranked.rowsBetween(Window.unboundedPreceding, -1)).alias("better_codes"),
     )
 
 
@@ -89,24 +78,21 @@ def best_fragment_per_entity(matches, search=("query_id",)):
     return _best_by_rank(matches, [*search, *VALUE])
 
 
-def search_index(encoded, entities, index, n_probes):
-    """Best index row per (search, value) of a small batch of encoded terms."""
-    hits = contains_join(encoded, without_empty_codes(index), n_probes=n_probes)
+def search_index(encoded, entities, index):
+    """Best index row per (search, value) of encoded terms."""
+    hits = contains_join(encoded, without_empty_codes(index))
     return best_fragment_per_entity(
         entity_index_join(entities, hits), ("query_id", "search_term")
     )
 
 
-def search_prepared(encoded, prepared, n_probes=None):
+def search_prepared(encoded, prepared):
     """Best index row per (search, value) for encoded terms, from a prepared index."""
     columns = ["query_id", "search_term", *VALUE,
                "entity_id", "phonetic_name", "name_field_id", "weight"]
-    matches = contains_join(encoded, prepared, n_probes=n_probes).filter(
+    return contains_join(encoded, prepared).filter(
         ~F.exists("better_codes", lambda better: F.contains(F.col("code"), better))
-    )
-    direct = matches.filter(F.col("n_codes") <= MAX_CODES).select(columns)
-    stale = matches.filter(F.col("n_codes") > MAX_CODES)
-    return direct.unionByName(_best_by_rank(stale, ["query_id", "search_term", *VALUE]))
+    ).select(columns)
 
 
 def with_distance(best, term="search_term"):
@@ -118,12 +104,7 @@ def with_distance(best, term="search_term"):
 
 def find_entity_matches(terms, entities, index):
     """Matching entities of each search term (query_id, search_term) with distance."""
-    encoded = encoded_terms(terms)
-    n_probes = contains.probe_count(encoded, "code")
-    if n_probes <= contains.BROADCAST_PROBES:
-        best = search_index(encoded, entities, index, n_probes)
-    else:
-        best = search_prepared(encoded, prepare_entity_search(entities, index), n_probes)
+    best = search_index(encoded_terms(terms), entities, index)
     return with_distance(best).select(
         "query_id", "entity_id", *VALUE, "phonetic_name", "name_field_id", "weight",
         "row_id", "distance",

@@ -67,9 +67,7 @@ VARIANT_WEIGHTS = {
 FIRST_FIELD = 1
 SECOND_FIELD = 2
 
-# A search keeps this many (party, weight) rows before distances,
-# and returns this many parties.
-CANDIDATE_LIMIT = 500
+# Fixed value: a search returns this many parties.
 DEFAULT_QUANTITY = 10
 
 # Last-name prefix that stands for a known person (first, last).

@@ -48,3 +48,10 @@ def test_scores(spark):
     row = frame.select(score.alias("s"), total_distance(F.lit(3), F.lit(1), score).alias("d")).first()
     assert row["s"] == Decimal("29.700")
     assert row["d"] == Decimal("-14.700")
+
+
+def test_letters_keep_their_number(spark):
+    row = spark.range(1).select(
+        levenshtein_sql(F.lit("Straße"), F.lit("")).alias("n"), levenshtein_sql(F.lit("STRAßE"), F.lit("straße")).alias("same")
+    ).first()
+    assert tuple(row) == (6, 0)

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from namelink.operators import contains, contains_join
+from namelink.operators import contains_join
 from namelink.plans.entity_index import build_entity_index
 from namelink.plans.entity_search import (
     best_fragment_per_entity,
@@ -39,7 +39,7 @@ def test_building_the_index_needs_no_shuffle(spark):
     assert "Exchange" not in plan(build_entity_index(seed_entities(spark)))
 
 
-def test_contains_join_equals_the_naive_join(spark, monkeypatch):
+def test_contains_join_equals_the_naive_join(spark):
     rng = random.Random(2)
     codes = {"".join(rng.choices("ABCN", k=rng.randint(0, 7))) for _ in range(60)}
     queries = spark.createDataFrame([(c,) for c in sorted(codes)], "code string")
@@ -48,10 +48,6 @@ def test_contains_join_equals_the_naive_join(spark, monkeypatch):
     naive = sorted((c, p) for c in codes for p in pieces if p in c)
     joined = contains_join(queries, index)
     assert rows(joined) == naive
-    assert "BroadcastHashJoin" in plan(joined)
-    monkeypatch.setattr(contains, "BROADCAST_PROBES", 0)
-    joined = contains_join(queries, index)
-    assert rows(joined) == naive
     assert "SortMergeJoin" in plan(joined)
 
 
@@ -82,14 +78,12 @@ def test_stale_index_with_many_codes_per_value(spark):
     encoded = encoded_terms(terms)
     fast = search_prepared(encoded, prepare_entity_search(entities, index))
     slow = best_fragment_per_entity(contains_join(encoded, entity_index_join(entities, index)))
-    assert prepare_entity_search(entities, index).agg(F.max("n_codes")).first()[0] > 8
+    assert prepare_entity_search(entities, index).agg(F.max(F.size("better_codes"))).first()[0] >= 8
     assert rows(fast, *slow.columns) == rows(slow)
     assert slow.count() > 3
 
 
-@pytest.mark.parametrize("limit", [0, 100_000])
-def test_search_plan(spark, monkeypatch, limit):
-    monkeypatch.setattr(contains, "BROADCAST_PROBES", limit)
+def test_search_plan(spark):
     entities = seed_entities(spark)
     found = find_entity_matches(search_terms(spark, "Dallas"), entities, build_entity_index(entities))
     text = plan(found)

@@ -59,3 +59,12 @@ def test_assign_ids_counts_across_blocks(spark):
     assert rows(numbered, "id", "k") == sorted(
         [(i, k) for i, k in enumerate(sorted(k * k - 50 for k in range(40)), start=3)], key=repr
     )
+
+
+def test_publishing_goes_on_after_a_failed_write(spark, tmp_path):
+    index = spark.createDataFrame([("A", 1)], "phonetic_name string, entity_id int")
+    path = str(tmp_path / "index")
+    publish_index(index, path)
+    (tmp_path / "index" / "version=2").mkdir()
+    assert publish_index(index, path) == 2
+    assert read_index(spark, path, index.schema).count() == 1
