@@ -19,6 +19,9 @@ from namelink.llm.shared import ship_package, staged
 #: A document goes if no language is found or the best one's mean probability is below this.
 LEAST_LANGUAGE_SCORE = 0.4
 
+#: Lines at most so many edits from an earlier one go.
+LINE_EDITS = 2
+
 
 def _keep(docs, verdicts):
     """Rows of ``docs`` whose doc_id has a kept row in ``verdicts``; rows without id stay.
@@ -39,7 +42,7 @@ def language_stage(spark, docs, sf_dir):
 
 def line_stage(spark, docs, sf_dir):
     """Drop repeated and almost repeated lines; a text of nothing else goes as a whole."""
-    found = staged(dedup_lines(docs), "line-dedup")  # else the filter below repeats its work
+    found = staged(dedup_lines(docs, max_edits=LINE_EDITS), "line-dedup")  # else the filter below repeats its work
     dropped = F.col("n_dropped_equal") + F.col("n_dropped_near")
     empty = F.coalesce(F.trim("doc.text"), F.lit("")) == ""
     return found.filter(~(empty & (dropped > 0))).select("doc.*").select(docs.columns)

@@ -1,9 +1,11 @@
-"""Line dedup: equal lines by hash, lines one edit apart by a segment-partition join.
-
-All of it is DataFrame functions. A line within the threshold of one edit of another is
-cut into threshold + 1 = 2 segments; one of them then agrees wholly, at the start or at the
-end. A line indexes its own two segments under its length, and probes those of lines one
-letter shorter. Segments that many lines share are cut once more before lines are paired.
+"""Line dedup: equal lines by hash, lines a few edits apart by a segment-partition join.
+
+All of it is DataFrame functions. A line is cut into threshold + 1 segments. If another is
+within the threshold, some segment i of the line occurs in it unchanged, with at most i edits
+before and at most threshold - i after it: this limits how far the segment may be shifted. A
+line indexes its own segments under its length, and probes those of lines as long or up to
+threshold letters shorter. Segments that many lines share are cut once more before lines are
+paired.
 Pairs are confirmed by Spark's ``levenshtein`` with a threshold, which fills only the band
 of the matrix around the diagonal.
 """
@@ -41,40 +43,65 @@ def _line_hash(line="line"):
     return F.unhex(F.md5(F.col(line) if isinstance(line, str) else line))
 
 
-def _segment_keys(line, min_chars):
-    """Keys of the segments of a line: (key, probe, side, length of the indexed line)."""
-    size = F.length(line)
+def _shifts(edits, piece, more):
+    """Shifts at which a piece of a text cut into ``edits`` + 1 may occur in one ``more`` letters longer."""
+    return [x for x in range(-piece, piece + 1) if abs(more - x) <= edits - piece]
 
-    def key(less, side):
-        length = size - less
-        half = F.floor(length / 2).cast("int")
-        part = F.left(line, half) if side == 0 else F.right(line, length - half)
-        return F.struct(
-            F.xxhash64(length, F.lit(side), part).alias("key"), F.lit(bool(less)).alias("probe"),
-            F.lit(side).alias("side"), length.alias("length"),
-        )
 
-    own = F.array(key(0, 0), key(0, 1))
-    shorter = F.when(size > min_chars, F.array(key(1, 0), key(1, 1)))
-    return F.when(shorter.isNull(), own).otherwise(F.concat(own, shorter))
-
-
-def _refined_keys(line):
-    """Keys of a line under one segment: the other segment, cut in two again."""
-    half = F.floor(F.col("length") / 2).cast("int")
-    start = F.when(F.col("side") == 0, half).otherwise(F.lit(0))
-    target = F.when(F.col("side") == 0, F.col("length") - half).otherwise(half)
-    more = F.length(line) - F.col("length")
-    rest = F.substring(line, start + 1, target + more)
-    cut = F.floor(target / 2).cast("int")
-    return F.array(
-        F.xxhash64("key", F.lit(0), F.left(rest, cut)), F.xxhash64("key", F.lit(1), F.right(rest, target - cut))
-    )
+def _cut(size, edits, piece):
+    """(start, length) of a piece of a text of ``size`` letters cut into ``edits`` + 1."""
+    start = F.floor(size * piece / (edits + 1)).cast("int")
+    return start, F.floor(size * (piece + 1) / (edits + 1)).cast("int") - start
 
 
-def _maybe_near(lines, min_chars):
+def _segment_keys(line, min_chars, max_edits):
+    """Keys of the segments of a line: (key, probe, side, less, shift, length of the indexed line)."""
+    size = F.length(line)
+
+    def keys(less):
+        length = size - less
+        for side in range(max_edits + 1):
+            start, n = _cut(length, max_edits, side)
+            for shift in _shifts(max_edits, side, less):
+                part = F.substring(line, start + 1 + shift, n)
+                yield F.struct(
+                    F.xxhash64(length, F.lit(side), part).alias("key"), F.lit(bool(less or shift)).alias("probe"),
+                    F.lit(side).alias("side"), F.lit(less).alias("less"), F.lit(shift).alias("shift"),
+                    length.alias("length"),
+                )
+
+    own = F.array(*keys(0))
+    shorter = [F.when(size >= min_chars + less, F.array(*keys(less))).otherwise(F.slice(own, 1, 0))
+               for less in range(1, max_edits + 1)]
+    return F.concat(own, *shorter)
+
+
+def _refined_keys(line, max_edits):
+    """(finer, probe) of a line under one segment: what lies beside the segment, cut again.
+
+    Before segment i > 0 are at most i edits, after the first at most ``max_edits``.
+    """
+    length, found = F.col("length"), None
+    for side in range(max_edits + 1):
+        start, n = _cut(length, max_edits, side)
+        edits, begin, target = (side, F.lit(0), start) if side else (max_edits, n, length - n)
+        for less in range(max_edits + 1):
+            for shift in _shifts(max_edits, side, less):
+                keys = []
+                for piece in range(edits + 1):
+                    at, size = _cut(target, edits, piece)
+                    for x in _shifts(edits, piece, shift if side else less):
+                        part = F.substring(line, begin + at + 1 + x, size)
+                        keys.append(F.struct(F.xxhash64("key", F.lit(piece), part).alias("finer"),
+                                             F.lit(bool(less or shift or x)).alias("probe")))
+                here = (F.col("side") == side) & (F.col("less") == less) & (F.col("shift") == shift)
+                found = F.when(here, F.array(*keys)) if found is None else found.when(here, F.array(*keys))
+    return found
+
+
+def _maybe_near(lines, min_chars, max_edits):
     """Distinct lines that may share a segment with another: (h, line, first)."""
-    segments = F.explode(_segment_keys(F.col("line"), min_chars)["key"]).alias("key")
+    segments = F.explode(_segment_keys(F.col("line"), min_chars, max_edits)["key"]).alias("key")
     shared = lines.select(F.xxhash64("line").alias("x"), segments).groupBy("key").agg(
         F.min("x").alias("least"), F.max("x").alias("most")
     ).filter("least != most")
@@ -87,13 +114,15 @@ def _pairs(rows, key):
     left = rows.filter(~F.col("probe")).select(F.col(key).alias("k"), F.col("h").alias("a"))
     right = rows.select(F.col(key).alias("k"), F.col("h").alias("b"), "probe")
     met = left.join(right, "k").filter((F.col("a") != F.col("b")) & (F.col("probe") | (F.col("a") < F.col("b"))))
-    return met.select("a", "b")
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
-def near_lines(docs, min_chars=MIN_CHARS):
-    """Hashes ``h`` of distinct lines one edit away from a line that occurs earlier."""
-    lines = staged(_maybe_near(_lines(docs, min_chars), min_chars), "near-lines")
-    keyed = lines.select("h", F.explode(_segment_keys(F.col("line"), min_chars)).alias("s")).select("h", "s.*")
+def near_lines(docs, min_chars=MIN_CHARS, max_edits=MAX_EDITS):
+    """Hashes ``h`` of distinct lines at most ``max_edits`` away from a line that occurs earlier."""
+    if max_edits < 1 or min_chars < (max_edits + 1) ** 2:
+        raise ValueError("lines are too short for so many edits: a piece of a segment would be empty")
+    lines = staged(_maybe_near(_lines(docs, min_chars), min_chars, max_edits), "near-lines")
+    keyed = lines.select("h", F.explode(_segment_keys(F.col("line"), min_chars, max_edits)).alias("s")).select("h", "s.*")
     group = Window.partitionBy("key")
     met = staged(
         keyed.withColumn("n", F.count(F.lit(1)).over(group)).withColumn("least", F.min("h").over(group))
@@ -101,35 +130,38 @@ def near_lines(docs, min_chars=MIN_CHARS):
         "near-line-segments",
     )
     hot = met.filter(F.col("n") > HOT_LINES).join(lines.select("h", "line"), "h").select(
-        "h", "probe", F.explode(_refined_keys(F.col("line"))).alias("finer")
-    )
+        "h", F.explode(_refined_keys(F.col("line"), max_edits)).alias("s")
+    ).select("h", "s.*")
     pairs = _pairs(met.filter(F.col("n") <= HOT_LINES), "key").unionByName(_pairs(hot, "finer")).distinct()
 
     def side(name):
         return lines.select(F.col("h").alias(name), F.col("line").alias(f"{name}_line"), F.col("first").alias(f"{name}_first"))
 
     near = pairs.join(side("a"), "a").join(side("b"), "b").filter(
-        F.levenshtein("a_line", "b_line", MAX_EDITS) >= 0
+        F.levenshtein("a_line", "b_line", max_edits) >= 0
     )
     later = F.struct("a_first", "a") > F.struct("b_first", "b")
     return near.select(F.when(later, F.col("a")).otherwise(F.col("b")).alias("h")).distinct()
 
 
-def dedup_lines(docs, min_chars=MIN_CHARS):
-    """Keep the first occurrence of every line and drop lines one edit from an earlier line.
+def dedup_lines(docs, min_chars=MIN_CHARS, max_edits=MAX_EDITS, min_equal=None):
+    """Keep the first occurrence of every line and drop lines a few edits from an earlier line.
 
-    Lines of fewer than ``min_chars`` characters always stay. Occurrences are ordered by
-    doc_id and position; rows without id come last, rows that repeat an id and a text keep
-    the same lines. A line is dropped if a distinct line within one edit occurs first
-    before it, whether or not that one is dropped itself.
+    Lines of at least ``min_chars`` characters are compared within ``max_edits``; equal lines
+    are dropped from ``min_equal`` characters on (``min_chars`` if not given, never more),
+    shorter ones always stay. Occurrences are ordered by doc_id and position; rows without id
+    come last, rows that repeat an id and a text keep the same lines. A line is dropped if a
+    distinct line within ``max_edits`` occurs first before it, whether or not that one is
+    dropped itself.
 
     Returns one row per row of ``docs``: ``doc``, the whole row as a struct with the
     remaining text, and n_lines, n_dropped_equal and n_dropped_near. A null text stays
     null and has no lines; a text all of whose lines are dropped becomes empty.
     """
-    dropped = staged(near_lines(docs, min_chars), "dropped-lines").withColumn("near", F.lit(True))
+    min_equal = min_chars if min_equal is None else min(min_equal, min_chars)
+    dropped = staged(near_lines(docs, min_chars, max_edits), "dropped-lines").withColumn("near", F.lit(True))
     order = F.col("doc_key") * F.lit(POSITIONS).cast("decimal(12,0)") + F.col("pos")
-    firsts = _lines(docs, min_chars).select(_line_hash().alias("h"), order.cast("decimal(38,0)").alias("o")).groupBy("h").agg(
+    firsts = _lines(docs, min_equal).select(_line_hash().alias("h"), order.cast("decimal(38,0)").alias("o")).groupBy("h").agg(
         F.min("o").alias("o")
     )
     pos = F.pmod(F.col("o"), F.lit(POSITIONS).cast("decimal(38,0)"))
@@ -160,9 +192,9 @@ def dedup_lines(docs, min_chars=MIN_CHARS):
     lettered = marked.withColumn("letters", F.split(letters, ""))
 
     def count(letter):
-        return F.size(F.filter("lines", lambda x, i: (F.length(x) >= min_chars) & (F.get("letters", i) == letter)))
+        return F.size(F.filter("lines", lambda x, i: (F.length(x) >= min_equal) & (F.get("letters", i) == letter)))
 
-    kept = F.filter("lines", lambda x, i: (F.length(x) < min_chars) | (F.get("letters", i) == "k"))
+    kept = F.filter("lines", lambda x, i: (F.length(x) < min_equal) | (F.get("letters", i) == "k"))
     has_text = F.col("text").isNotNull()
     return lettered.select(
         F.col("doc").withField("text", F.when(has_text, F.array_join(kept, LINE_BREAK))).alias("doc"),
@@ -172,9 +204,9 @@ def dedup_lines(docs, min_chars=MIN_CHARS):
     )
 
 
-def line_dedup_report(docs, min_chars=MIN_CHARS):
+def line_dedup_report(docs, min_chars=MIN_CHARS, max_edits=MAX_EDITS, min_equal=None):
     """The digest per document: counts of lines and the hash of the remaining text."""
-    return dedup_lines(docs, min_chars).select(
+    return dedup_lines(docs, min_chars, max_edits, min_equal).select(
         F.col("doc.doc_id").alias("doc_id"), "n_lines", "n_dropped_equal", "n_dropped_near",
         F.sha2(F.coalesce("doc.text", F.lit("")), 256).alias("text_sha256"),
     )

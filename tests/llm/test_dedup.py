@@ -68,6 +68,44 @@ def test_lines_match_brute_force(spark, monkeypatch, hot):
     assert sum(r["n_dropped_near"] for r in got) > 0
 
 
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(last + (x != y), row[j] + 1, row[j - 1] + 1)
+    return row[-1]
+
+
+@pytest.mark.parametrize(("hot", "edits"), [(64, 2), (1, 2), (1, 3)])
+def test_lines_some_edits_apart(spark, monkeypatch, hot, edits):
+    """Every pair within the edits is found, and no other; equal short lines go as well."""
+    monkeypatch.setattr(line_dedup, "HOT_LINES", hot)
+    rng = random.Random(40 + edits)
+    lines = ["Invoice number 00417 of the year 2019", "Invoice number 00452 of the year 2019", "ab the same letters swapped at the end ba"]
+    for k in range(10):
+        line = prose(k, 7, 1)[:rng.randint(30, 45)].ljust(30, "k")
+        lines.append(line)
+        for n in range(1, edits + 2):
+            for _ in range(3):
+                other = line
+                for _ in range(n):
+                    other = edited(other, rng)
+                lines.append(other)
+        lines += ["Q" * n + line for n in range(1, edits + 1)] + [line + "Q" * n for n in range(1, edits + 1)]
+        lines += [line[n:] + "W" * n for n in range(1, edits)]
+    lines = [x for x in dict.fromkeys(lines) if len(x) >= 30]
+    rng.shuffle(lines)
+    near = {b for i, b in enumerate(lines) if any(abs(len(a) - len(b)) <= edits and edit_distance(a, b) <= edits for a in lines[:i])}
+    docs = frame(spark, [(k, x + "\nshort\n") for k, x in enumerate(lines)])
+    got = {r["doc_id"]: r for r in dedup_lines(docs, 30, edits, 1).selectExpr("doc.doc_id", "doc.text", "n_dropped_equal", "n_dropped_near").collect()}
+    assert {lines[k] for k, r in got.items() if r["n_dropped_near"]} == near
+    assert [r["n_dropped_equal"] for _, r in sorted(got.items())] == [0] + [1] * (len(lines) - 1)
+    assert got[0]["text"] == lines[0] + "\nshort\n"
+    with pytest.raises(ValueError):
+        dedup_lines(docs, 8, 2)
+
+
 def test_lines_without_ids_and_repeated_rows(spark):
     line = "A line that is long enough to be compared."
     rows = [(None, line), (5, line), (7, "only once, but the very same row twice"), (7, "only once, but the very same row twice"), (4, None)]
