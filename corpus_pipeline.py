@@ -16,7 +16,7 @@ from namelink.llm.minhash import near_dedup
 from namelink.llm.queries import benchmark, documents
 from namelink.llm.shared import ship_package, staged
 
-#: A document goes if no language is found or the best one's mean probability is below this.
+#: A document goes if it has no letters, or its words' own best probabilities have a mean below this.
 LEAST_LANGUAGE_SCORE = 0.4
 
 #: Lines at most so many edits from an earlier one go.

@@ -15,13 +15,15 @@ from pyspark.sql import functions as F
 
 from .shared import pieces
 
-#: The labelled sample: documents per language (about), lines per language and words per line.
-SAMPLE_DOCS, SAMPLE_LINES, SAMPLE_WORDS = 400, 1500, 60
+#: The labelled sample: documents per language (about), sequences per language, words per sequence.
+SAMPLE_DOCS, SAMPLE_SEQUENCES, SAMPLE_WORDS = 400, 1500, 60
 LEXICON_WORDS = 400
 BUCKETS = 1 << 16
 EPOCHS, STEP, SEQUENCES_PER_STEP = 6, 0.3, 250
 #: Words whose features a worker remembers, and words in one forward-backward pass.
 REMEMBERED, PASS_WORDS = 300_000, 250_000
+#: Bytes of a word, and features of some words, that are summed at a time.
+BLOCK = 1 << 17
 
 UNKNOWN = "und"
 RESULT = "doc_id bigint, lang_pred string, score double"
@@ -35,18 +37,30 @@ def letters_of(token):
     return "".join([c for c in token.lower() if c.isalpha()])
 
 
+def gram_rows(padded, start, stop):
+    """Rows of the byte n-grams that begin in a stretch of a padded word."""
+    crc, end = zlib.crc32, len(padded)
+    rows = [crc(padded[i:i + 2], 4) for i in range(start, min(stop, end - 1))]
+    rows += [crc(padded[i:i + 3], 5) for i in range(start, min(stop, end - 2))]
+    return [row % BUCKETS for row in rows]
+
+
 def feature_rows(word, lexicons):
     """Rows of the weight table for a word: itself, affixes, byte n-grams and lexicons.
 
-    Each kind of feature starts its checksum at another value, so kinds do not mix.
+    All of the word is read. Each kind of feature starts its checksum at another value, so
+    kinds do not mix.
     """
+    raw = word.encode()
+    return affix_rows(word, lexicons) + gram_rows(b"^" + raw + b"$", 0, len(raw) + 2)
+
+
+def affix_rows(word, lexicons):
+    """The rows of ``feature_rows`` without the n-grams."""
     crc, raw = zlib.crc32, word.encode()
-    padded = b"^" + raw[:60] + b"$"
     rows = [crc(raw, 1)]
     rows += [crc(raw[:n], 2) for n in (1, 2, 3, 4)]
     rows += [crc(raw[-n:], 3) for n in (1, 2, 3, 4)]
-    rows += [crc(padded[i:i + 2], 4) for i in range(len(padded) - 1)]
-    rows += [crc(padded[i:i + 3], 5) for i in range(len(padded) - 2)]
     rows += [crc(lang.encode(), 6) for lang, words in lexicons.items() if word in words]
     return [row % BUCKETS for row in rows]
 
@@ -60,11 +74,33 @@ class Model:
     def features(self, word):
         return feature_rows(word, self.lexicons)
 
-    def emissions(self, words):
-        rows = [self.features(w) for w in words]
+    def _sums(self, rows):
         n = np.array([len(r) for r in rows])
         return np.add.reduceat(self.weights[np.concatenate(rows)], np.cumsum(n) - n)
 
+    def _long(self, raw, word):
+        """The sum for one very long word, a block of n-grams at a time."""
+        padded = b"^" + raw + b"$"
+        total = self.weights[affix_rows(word, self.lexicons)].sum(axis=0)
+        for at in range(0, len(padded), BLOCK):
+            total = total + self.weights[gram_rows(padded, at, at + BLOCK)].sum(axis=0)
+        return total
+
+    def emissions(self, words):
+        """Sums of the words' weights, few features at a time however long the words are."""
+        found, rows, held = [], [], 0
+        for word in words:
+            raw = word.encode()
+            if len(raw) < BLOCK:
+                rows.append(self.features(word))
+                held += len(rows[-1])
+            if rows and (len(raw) >= BLOCK or held >= 2 * BLOCK):
+                found.append(self._sums(rows))
+                rows, held = [], 0
+            if len(raw) >= BLOCK:
+                found.append(self._long(raw, word)[None])
+        return np.concatenate(found + ([self._sums(rows)] if rows else []))
+
 
 def forward_backward(emissions, lengths, transitions, want_pairs=False):
     """Posteriors of every position of many sequences laid end to end.
@@ -97,13 +133,17 @@ def forward_backward(emissions, lengths, transitions, want_pairs=False):
 
 
 def _sequences(texts_by_lang, random):
-    """Labelled word sequences: lines of one language, and half of them with a second one."""
+    """Labelled word sequences: lines of one language, and half of them with a second one.
+
+    A long line gives several sequences, so that its end is as likely to be learnt from as
+    its start.
+    """
     lines = {}
     for label, texts in enumerate(texts_by_lang):
         own = [[w for w in map(letters_of, line.split()) if w] for text in texts for line in text.split("\n")]
-        own = [x for x in own if x]
-        picked = random.permutation(len(own))[:SAMPLE_LINES]
-        lines[label] = [own[i][:SAMPLE_WORDS] for i in picked]
+        own = [x[at:at + SAMPLE_WORDS] for x in own for at in range(0, len(x), SAMPLE_WORDS)]
+        picked = random.permutation(len(own))[:SAMPLE_SEQUENCES]
+        lines[label] = [own[i] for i in picked]
     found = []
     for label, own in lines.items():
         for k, words in enumerate(own):
@@ -206,6 +246,15 @@ class Labeller:
         best = posterior.argmax(axis=1) if len(posterior) else []
         return [(t, self.model.langs[k], float(posterior[i, k])) for i, (t, k) in enumerate(zip(tokens, best))]
 
+    def confidence(self, texts):
+        """The mean of each word's own best probability per text; None where no word has letters.
+
+        A text in several languages, each surely labelled, is as sure as one in one language.
+        """
+        posterior, per_text = self.posteriors(texts)
+        ends = np.cumsum(per_text, dtype=int)
+        return [float(posterior[end - n:end].max(axis=1).mean()) if n else None for n, end in zip(per_text, ends)]
+
     def predict(self, texts):
         """(language, mean probability) per text; the unknown language where no word has letters."""
         if not self.model.langs:
@@ -248,6 +297,18 @@ def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
 
+def _passes(texts):
+    """Lists of some texts, of so many characters at a time; null is empty."""
+    own, held = [], 0
+    for text in texts:
+        own.append(text or "")
+        held += len(own[-1])
+        if held > 6 * PASS_WORDS:
+            yield own
+            own, held = [], 0
+    yield own
+
+
 def predict_languages(docs, model):
     """(doc_id, lang_pred, score) of every whole text.
 
@@ -260,14 +321,7 @@ def predict_languages(docs, model):
         labeller = Labeller(shared.value)
         for batch in pieces(batches):
             ids, texts = batch.column("doc_id"), batch.column("text").to_pylist()
-            found, own, held = [], [], 0
-            for text in texts:
-                own.append(text or "")
-                held += len(own[-1])
-                if held > 6 * PASS_WORDS:
-                    found += labeller.predict(own)
-                    own, held = [], 0
-            found += labeller.predict(own)
+            found = [x for own in _passes(texts) for x in labeller.predict(own)]
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())],
                 schema=_RESULT,
@@ -277,14 +331,21 @@ def predict_languages(docs, model):
 
 
 def keep_languages(docs, model, least_score):
-    """Rows of ``docs`` whose text has a language with at least this score; nothing is shuffled."""
+    """Rows of ``docs`` whose words have a language with at least this mean probability.
+
+    What counts is how sure each word is of its own language, not the share of the largest
+    one: texts that switch languages stay. A text without letters goes; all texts stay where
+    nothing could be learnt. Nothing is shuffled.
+    """
+    if not model.langs:
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches):
         labeller = Labeller(shared.value)
         for batch in pieces(batches):
-            found = labeller.predict([t or "" for t in batch.column("text").to_pylist()])
-            yield batch.filter(pa.array([lang != UNKNOWN and score >= least_score for lang, score in found], pa.bool_()))
+            found = [x for own in _passes(batch.column("text").to_pylist()) for x in labeller.confidence(own)]
+            yield batch.filter(pa.array([x is not None and x >= least_score for x in found], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
 

@@ -179,6 +179,30 @@ def test_words_of_switched_text_and_nothing_to_learn(spark):
     assert langid.language_id(docs.limit(0)).collect() == []
 
 
+def test_mixed_texts_are_kept_and_all_where_nothing_is_learnt(spark):
+    model = langid.train([(mixed(lang, k), lang) for k in range(120) for lang in WORDS])
+    evenly = "\n".join(mixed(lang, 5000 + k, 20) for k in range(3) for lang in WORDS)
+    assert langid.Labeller(model).predict([evenly])[0][1] < 0.4
+    docs = spark.createDataFrame([(1, evenly), (2, "12 ..."), (3, None), (4, mixed("de", 9))], "doc_id bigint, text string")
+    assert {r["doc_id"] for r in langid.keep_languages(docs, model, 0.4).collect()} == {1, 4}
+    assert langid.keep_languages(docs, langid.train([]), 0.4).count() == 4
+
+
+def test_whole_words_and_whole_lines_are_read(monkeypatch):
+    import numpy as np
+
+    head = "x" * 80
+    known = set(langid.feature_rows(head + "x" * 40 + head, {}))
+    assert len(set(langid.feature_rows(head + "qzj" * 9 + head, {})) - known) > 5
+    found = langid._sequences([[" ".join("a" * (1 + k // 26 % 26) + chr(97 + k % 26) for k in range(150))]], np.random.default_rng(1))
+    assert sum(len(words) for words, _ in found) == 150
+    model = langid.train([(mixed(lang, k), lang) for k in range(30) for lang in WORDS])
+    words = ["schaft" * 30, "und", "los" * 100, "que"]
+    whole = model.emissions(words)
+    monkeypatch.setattr(langid, "BLOCK", 64)
+    assert np.allclose(whole, model.emissions(words), atol=1e-3)
+
+
 def test_posteriors_match_enumeration():
     import itertools
 
