@@ -138,7 +138,49 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
 FROM firsts
 """
 
+OP13 = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+# CRC-32 of a decimal id: a step per character and eight shifts after it.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295, flatten(list_transform(
+           string_split(conv_id::VARCHAR, ''), lambda c: list_prepend(ascii(c)::BIGINT, [-1, -1, -1, -1, -1, -1, -1, -1])))),
+           lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END
+       ), 4294967295)"""
+
+OP11 = f"""
+WITH own AS (
+    SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS turns
+    FROM conversations GROUP BY conv_id
+), rebuilt AS (
+    SELECT own.conv_id, list_concat(coalesce(base.turns, [])[1:h], own.turns[h + 1:]) AS path
+    FROM (SELECT *, {_CRC32} % 6 AS h FROM own) AS own LEFT JOIN own AS base ON base.conv_id = own.conv_id - own.conv_id % 100
+), steps AS (
+    SELECT conv_id, len(path) AS n_turns, path[1:d] AS node, d
+    FROM (SELECT *, unnest(range(0, len(path) + 1)) AS d FROM rebuilt)
+), nodes AS (
+    SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+           coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE n_turns = d), '') AS ends
+    FROM steps GROUP BY node, d
+), linked AS (
+    SELECT c.*, p.conv_id AS parent_conv_id,
+           (SELECT count(*) FROM nodes AS k WHERE k.d = c.d + 1 AND k.node[1:c.d] = c.node) AS n_children,
+           CASE WHEN c.d = 0 THEN 0 ELSE (c.n_convs - 1) * length(c.node[c.d].t) END AS saved
+    FROM nodes AS c LEFT JOIN nodes AS p ON p.d = c.d - 1 AND p.node = c.node[1:c.d - 1]
+), totals AS (
+    SELECT node, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+    FROM (SELECT n_children, saved, below[1:d] AS node
+          FROM (SELECT n_children, saved, node AS below, unnest(range(0, d + 1)) AS d FROM linked)) GROUP BY node
+)
+SELECT conv_id, d AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(ends) AS ends_sha256
+FROM linked JOIN totals USING (node)
+"""
+
 ORACLES = {
+    "op11_prefix_trie": OP11,
+    "op13_exact_dedup": OP13,
     "op4_warc": OP4,
     "op10_line_dedup": OP10,
     "op6_decontaminate": OP6,

@@ -5,19 +5,23 @@ import public_tokenizers
 from ..sources import load_table
 from .bpe_shuffle import bpe_round_trip
 from .decontaminate import contamination_report
+from .exact_dedup import exact_dedup
 from .langid import language_id
 from .line_dedup import line_dedup_report
 from .minhash import near_dedup
 from .pii import pii_report
+from .prefix_trie import prefix_trie
 from .quality import quality_rules
 from .secrets import secret_report
 from .shared import ship_package
+from .token_align import alignment_report
 from .token_files import token_file_round_trip
 from .warc import warc_round_trip
 
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 BENCHMARK = "item_id bigint, text string"
 PAGES = "page_id bigint, url string, html string"
+CONVERSATIONS = "conv_id bigint, turn bigint, role string, text string"
 
 
 def documents(spark, sf_dir):
@@ -71,7 +75,24 @@ def op10_line_dedup(spark, sf_dir):
     return line_dedup_report(documents(spark, sf_dir))
 
 
+def op11_prefix_trie(spark, sf_dir):
+    ship_package(spark)
+    return prefix_trie(load_table(spark, f"{sf_dir}/conversations.parquet", CONVERSATIONS))
+
+
+def op12_token_align(spark, sf_dir):
+    first, second = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment_report(documents(spark, sf_dir), first, second)
+
+
+def op13_exact_dedup(spark, sf_dir):
+    return exact_dedup(documents(spark, sf_dir))
+
+
 QUERIES = {
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_token_align": op12_token_align,
+    "op13_exact_dedup": op13_exact_dedup,
     "op9_near_dedup": op9_near_dedup,
     "op10_line_dedup": op10_line_dedup,
     "op1_secrets": op1_secrets,

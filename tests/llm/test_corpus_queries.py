@@ -30,7 +30,7 @@ def test_query_matches_sql(spark, sf_dir, name):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_matches_brute_force(spark, sf_dir, tmp_path, encoding):  # noqa: F811
