@@ -36,9 +36,7 @@ from .operators import (
     top_n,
 )
 from .plans import claim_search, duplicates, entity_index, entity_search, party_index
-from .schemas import ENTITY_INDEX
 from .sources import check_constraints, publish_index, read_index, seed_entities
-from .sources.publish import new_index_path
 
 #: Rows that the top_candidates query keeps per search; the limit is its feature.
 TOP_CANDIDATES = 20
@@ -97,10 +95,12 @@ def preview(spark, d):
     return entity_index.index_preview(raw.drop("variant"))
 
 
+def stored_entity_index(spark, d):
+    return read_index(spark, publish_index(entity_index_of(spark, d)))
+
+
 def published_index(spark, d):
-    path = new_index_path(spark)
-    publish_index(entity_index_of(spark, d), path)
-    return read_index(spark, path, ENTITY_INDEX)
+    return stored_entity_index(spark, d).index
 
 
 def constraint_report(spark, d):
@@ -120,6 +120,13 @@ def entity_matches(spark, d):
     )
 
 
+def stored_entity_matches(spark, d):
+    """The search of a published index."""
+    return entity_search.find_entity_matches(
+        fx.terms(spark, d), fx.entities(spark, d), stored_entity_index(spark, d)
+    )
+
+
 def prepared_entity_matches(spark, d):
     """The large-batch form of the search, whatever the number of terms."""
     prepared = entity_search.prepare_entity_search(fx.entities(spark, d), entity_index_of(spark, d))
@@ -174,19 +181,17 @@ def searches_and_parties(spark, d):
 
 def searched_pairs(spark, d):
     encoded, prepared = searches_and_parties(spark, d)
-    searches = claim_search.distinct_searches(encoded)
-    return claim_search.candidate_pairs(searches, prepared), searches
+    return claim_search.candidate_pairs(claim_search.distinct_searches(encoded), prepared)
 
 
 def party_scores(spark, d):
-    return claim_search.scored_candidates(searched_pairs(spark, d)[0]).select(
+    return claim_search.scored_candidates(searched_pairs(spark, d)).select(
         "search_id", "party_id", "weight", "types", "cnt", "score"
     )
 
 
 def totals(spark, d):
-    pairs, searches = searched_pairs(spark, d)
-    return claim_search.totals_per_pair(pairs, searches)
+    return claim_search.totals_per_pair(searched_pairs(spark, d))
 
 
 def party_matches(spark, d):
@@ -203,6 +208,27 @@ def literal_party_matches(spark, d):
     )
 
 
+def stored_party_matches(spark, d):
+    """Search a stored index that was never refreshed: other members, variants and fields."""
+    stored = read_index(spark, publish_index(fx.old_party_index(spark, d)))
+    return claim_search.find_party_matches(fx.claims(spark, d), *people(spark, d), stored.index)
+
+
+def refreshed_party_matches(spark, d):
+    """Refresh a stored index, store the result and search that."""
+    stored = read_index(spark, publish_index(party_refresh(spark, d)[0]))
+    return claim_search.find_party_matches(fx.claims(spark, d), *people(spark, d), stored.index)
+
+
+def stored_party_scores(spark, d):
+    everyone = people(spark, d)
+    prepared = claim_search.prepare_party_search(*everyone, fx.old_party_index(spark, d))
+    searches = claim_search.distinct_searches(claim_search.encode_claims(fx.claims(spark, d)))
+    return claim_search.scored_candidates(claim_search.candidate_pairs(searches, prepared)).select(
+        "search_id", "party_id", "weight", "types", "cnt", "score"
+    )
+
+
 def dob_gated(spark, d):
     """Claims and eligible parties of one name whose dates of birth pass the gate."""
     claims = fx.claims(spark, d).select(
@@ -408,7 +434,7 @@ QUERIES = {
     "match_rank": lambda s, d: match_rank(totals(s, d)).select(
         "search_id", "party_id", "total_distance", "rank"),
     "sorted_matches": lambda s, d: entity_search.sorted_matches(entity_matches(s, d)),
-    "top_candidates": lambda s, d: claim_search.limited_candidates(searched_pairs(s, d)[0], TOP_CANDIDATES).select(
+    "top_candidates": lambda s, d: claim_search.limited_candidates(searched_pairs(s, d), TOP_CANDIDATES).select(
         "search_id", "party_id", "weight", "score"),
     "top_n": lambda s, d: top_n(totals(s, d)).select(
         "search_id", "party_id", "total_distance", "rank"),
@@ -417,9 +443,13 @@ QUERIES = {
     "refresh_party_index": lambda s, d: party_refresh(s, d)[1],
     "find_entity_matches": entity_matches,
     "find_entity_matches_prepared": prepared_entity_matches,
+    "find_entity_matches_stored": stored_entity_matches,
     "encoded_terms": lambda s, d: entity_search.encoded_terms(fx.terms(s, d)),
     "find_party_matches": party_matches,
     "find_party_matches_literal": literal_party_matches,
+    "find_party_matches_stored": stored_party_matches,
+    "find_party_matches_refreshed": refreshed_party_matches,
+    "party_scores_stored": stored_party_scores,
     "duplicate_pairs": lambda s, d: duplicates.duplicate_pairs(fx.entities(s, d)),
     "duplicate_clusters": clusters,
     "merge_duplicates": lambda s, d: duplicates.merge_duplicates(fx.entities(s, d), clusters(s, d)),

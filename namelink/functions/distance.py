@@ -18,6 +18,40 @@ def levenshtein_sql(left, right):
     )
 
 
+def compared_text(text):
+    """What the lenient distance compares: upper case, no trailing blanks, '' for NULL."""
+    return F.coalesce(upper_letters(F.rtrim(_column(text))), F.lit(""))
+
+
+def levenshtein_compared(left, right):
+    """The lenient distance of two texts from :func:`compared_text`."""
+    left, right = _column(left), _column(right)
+    return F.when(left == "", F.lit(0)).otherwise(F.levenshtein(left, right))
+
+
+def letter_set(text):
+    """A long with a bit for each letter that occurs; letters 63 apart share a bit."""
+    return F.aggregate(
+        F.split(_column(text), ""), F.lit(0).cast("long"),
+        lambda found, c: found.bitwiseOR(F.when(c == "", 0).otherwise(
+            F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.ascii(c), F.lit(63))))),
+    )
+
+
+def least_distance(left, left_letters, right, right_letters):
+    """A lower bound of :func:`levenshtein_compared` from lengths and letter sets alone.
+
+    An edit changes the length by one at most, takes away one letter that the other text
+    lacks at most, and brings in one that it has at most.
+    """
+    left, right, mine, other = map(_column, (left, right, left_letters, right_letters))
+    lacking = F.bit_count(mine.bitwiseAND(F.bitwise_not(other)))
+    extra = F.bit_count(other.bitwiseAND(F.bitwise_not(mine)))
+    return F.when(left == "", F.lit(0)).otherwise(
+        F.greatest(F.abs(F.length(left) - F.length(right)), lacking, extra)
+    )
+
+
 def levenshtein_strict(left, right):
     """Symmetric, case-sensitive edit distance; NULL is an error."""
     left, right = _column(left), _column(right)

@@ -1,6 +1,6 @@
 """DataFrame operators the index builders and searches are made of."""
 
-from .contains import contains_join, substrings
+from .contains import contains_join, contains_stored, length_directory, substrings
 from .fragments import distinct_fragments, fragment_union, without_empty_codes
 from .index_diff import index_changed, index_new_rows, index_stale, index_unchanged
 from .people import (
@@ -10,7 +10,6 @@ from .people import (
     lookup_claims,
 )
 from .ranking import (
-    assign_ids,
     match_rank,
     top_candidates,
     top_n,
@@ -18,8 +17,8 @@ from .ranking import (
 )
 
 __all__ = [
-    "assign_ids",
     "contains_join",
+    "contains_stored",
     "distinct_fragments",
     "dob_gate_join",
     "eligible_fanout",
@@ -29,6 +28,7 @@ __all__ = [
     "index_new_rows",
     "index_stale",
     "index_unchanged",
+    "length_directory",
     "lookup_claims",
     "match_rank",
     "substrings",

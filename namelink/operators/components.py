@@ -2,15 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..sources.publish import shared_folder
-
-
-def durable(frame):
-    """Cut lineage with a checkpoint on shared storage; it outlives lost executors."""
-    context = frame.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(frame.sparkSession))
-    return frame.checkpoint(eager=True)
+from ..storage import durable
 
 
 def _large_star(links):

@@ -13,7 +13,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import display_name, levenshtein_sql, nysiis
-from ..operators import contains_join, without_empty_codes
+from ..operators import contains_join, contains_stored, without_empty_codes
+from ..sources.publish import StoredIndex
 
 VALUE = ["entity_type", "entity_value1", "entity_value2"]
 
@@ -79,8 +80,11 @@ def best_fragment_per_entity(matches, search=("query_id",)):
 
 
 def search_index(encoded, entities, index):
-    """Best index row per (search, value) of encoded terms."""
-    hits = contains_join(encoded, without_empty_codes(index))
+    """Best index row per (search, value) of encoded terms; the index may be a published one."""
+    if isinstance(index, StoredIndex):
+        hits = contains_stored(encoded, index)
+    else:
+        hits = contains_join(encoded, without_empty_codes(index))
     return best_fragment_per_entity(
         entity_index_join(entities, hits), ("query_id", "search_term")
     )

@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from ..operators import assign_ids
 from ..schemas import ENTITY, SEED_ENTITIES
 
 
@@ -17,16 +16,16 @@ def load_table(spark, path, schema):
 
 
 def seed_entities(spark, rest=None):
-    """The seed entities with ids 1 to 11; ``rest`` is numbered after them.
+    """The seed entities with ids 1 to 11; ``rest`` gets ids after them.
 
-    ``rest`` has the entity columns without an id and is numbered by its source_key.
+    ``rest`` has the entity columns without an id. Its source keys are unique and not
+    negative, so the key itself, moved behind the seeds, serves as the id: ids keep the
+    order of the keys, whatever order or tasks the rows are in.
     """
     fields = ENTITY.names
     rows = [(i, *row) for i, row in enumerate(SEED_ENTITIES, start=1)]
     seeds = spark.createDataFrame(rows, ENTITY)
     if rest is None:
         return seeds
-    numbered = assign_ids(
-        rest.select(*fields[1:]), "source_key", "entity_id", start=len(rows) + 1
-    )
-    return seeds.unionByName(numbered)
+    keyed = rest.select((F.col("source_key") + len(rows) + 1).alias("entity_id"), *fields[1:])
+    return seeds.unionByName(conform(keyed, ENTITY))

@@ -6,11 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from namelink import catalog
-from namelink.operators import dob_gate_join
+from namelink.functions.distance import least_distance, letter_set, levenshtein_compared
+from namelink.operators import dob_gate_join, top_n
 from namelink.plans import claim_search
 from namelink.plans.claim_search import find_party_matches
 from namelink.plans.party_index import build_party_index
 from namelink.schemas import CLAIM, MEMBER, PARTY, RELATIONSHIP
+from namelink.sources import publish_index, read_index
 
 from helpers import plan, rows
 
@@ -142,6 +144,60 @@ def test_limits_agree_with_brute_force(spark, limit):
     assert rows(found, "claim_id", "rank", "party_id") == expected
 
 
+def test_an_index_is_searched_as_it_is_stored(spark):
+    """Unknown variants and fields, any weight, repeated rows, rows of other parties."""
+    rng = random.Random(11)
+    given = setup(spark, [(i, rng.choice(["JUAN", "ANNA", "THEODORE"]), rng.choice(["DAVILA", "MOON", "ROMERO"]),
+                           D(1960, rng.randint(1, 12), rng.randint(1, 28))) for i in range(1, 41)], memberships=3)
+    pieces = ["J", "JA", "JAN", "AN", "DAVAL", "VAL", "MAN", "RANAR", "T", "TADAR", "ADA", ""]
+    weights = ["0.300", "7.125", "1.000", "0.000", "-0.500", "12345678.900"]
+    odd = spark.createDataFrame(
+        [(rng.randint(1, 60), rng.choice(pieces), rng.choice([1, 2, 3, 9]), rng.choice(["left3", "full", "x"]),
+          rng.choice(weights)) for _ in range(300)] * 2,
+        "party_id bigint, phonetic_name string, name_field_id int, variant string, w string",
+    ).selectExpr("party_id", "phonetic_name", "name_field_id", "variant", "cast(w as decimal(18,3)) weight",
+                 "1 created_by", "1 modified_by")
+    claims = spark.createDataFrame(
+        [(n, f"PC{n}", last, first, D(1960, n % 12 + 1, 5)) for n, (first, last) in
+         enumerate([("JUAN", "DAVILA"), ("ANNA", "MOON"), ("THEODORE", "ROMERO"), ("MOON", "ANNA"), ("JUANA", "ROMERA")])], CLAIM)
+    for limit in (None, 4):
+        expected = brute_force(
+            claim_search.encode_claims(claims).collect(), {p["party_id"]: p for p in given[0].collect()},
+            odd.collect(), 3, limit, 6,
+        )
+        found = find_party_matches(claims, *given[:3], odd, quantity=6, candidate_limit=limit)
+        assert rows(found, "claim_id", "rank", "party_id") == expected
+    stored = read_index(spark, publish_index(odd, 3, least_share=5))
+    assert rows(stored.index) == rows(odd)
+
+
+def test_bounds_drop_no_wanted_party(spark, sf_dir):
+    encoded, prepared = catalog.searches_and_parties(spark, sf_dir)
+    searches = claim_search.distinct_searches(encoded)
+    exact = claim_search.totals_per_pair(claim_search.candidate_pairs(searches, prepared))
+    for quantity in (1, 4):
+        bounded = claim_search.with_bound(searches, prepared, quantity)
+        assert not bounded.filter("most_total is not null").isEmpty()
+        near = claim_search.nearest_parties(searches, prepared, quantity)
+        assert rows(near, "search_id", "rank", "party_id", "total_distance") == rows(
+            top_n(exact, quantity), "search_id", "rank", "party_id", "total_distance")
+    possible = claim_search.candidate_pairs(bounded, prepared).filter(
+        claim_search._least_total(F.col("most_score")) <= F.col("most_total"))
+    checked = claim_search._with_total(possible, claim_search._best_score()).join(
+        possible.select("search_id", "party_id", claim_search._least_total(F.col("most_score")).alias("least")),
+        ["search_id", "party_id"])
+    assert checked.filter("least > total").isEmpty()
+
+
+def test_least_distance_is_a_lower_bound(spark):
+    rng = random.Random(12)
+    texts = ["".join(rng.choices("ABCé中 ", k=rng.randint(0, 9))) for _ in range(400)]
+    pairs = spark.createDataFrame(list(zip(texts, texts[::-1])), "a string, b string")
+    bounds = pairs.select(
+        least_distance("a", letter_set("a"), "b", letter_set("b")).alias("least"), levenshtein_compared("a", "b").alias("d"))
+    assert bounds.filter("least > d").isEmpty() and not bounds.filter("least = d and d > 2").isEmpty()
+
+
 def test_dob_gate(spark):
     rng = random.Random(6)
     days = [None] + [D(1990 + rng.randint(0, 5), rng.randint(1, 12), rng.randint(1, 28))

@@ -1,10 +1,19 @@
 import random
 
+import duckdb
 import pytest
 
 from namelink.operators.components import connected_components
-from namelink.plans.duplicates import duplicate_clusters, duplicate_pairs, merge_duplicates
-from namelink.plans.entity_index import build_entity_index
+from namelink.operators.spread import spread_join
+from namelink.plans.duplicates import (
+    distinct_names,
+    duplicate_clusters,
+    duplicate_pairs,
+    merge_duplicates,
+    near_names,
+    same_code_names,
+)
+from namelink.plans.entity_index import build_entity_index, encode_entities
 from namelink.schemas import ENTITY
 
 from helpers import edit_distance, rows
@@ -57,11 +66,79 @@ def test_pairs_agree_with_brute_force(spark, distance):
                 d = edit_distance(a, b)
                 if d <= distance:
                     expected.append((i, j, d))
+    by_code = {}
+    for r in encode_entities(frame).collect():
+        by_code.setdefault((values[r["entity_id"]][0], r["code1"], r["code2"]), []).append(r["entity_id"])
+    texts = {i: a for i, _, a in firsts}
+    for ids in by_code.values():
+        first, *others = sorted(i for i in ids if i in texts)
+        expected += [(first, i, edit_distance(texts[i], texts[first])) for i in others]
+    expected = set(expected)
     assert rows(duplicate_pairs(frame, distance)) == sorted(expected, key=repr)
     label = union_find(range(len(values)), [(a, b) for a, b, _ in expected])
     assert rows(duplicate_clusters(frame, distance)) == sorted(label.items(), key=repr)
 
 
+def all_near(texts, distance):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE names (i BIGINT, t VARCHAR)")
+    con.executemany("INSERT INTO names VALUES (?, ?)", list(enumerate(texts)))
+    return con.execute(
+        "SELECT a.i, b.i, levenshtein(a.t, b.t) AS d FROM names a JOIN names b ON a.i < b.i WHERE d <= ?", [distance]
+    ).fetchall()
+
+
+def as_names(spark, texts):
+    """Names of one code, so that only the distance decides."""
+    return spark.createDataFrame(
+        [("T", n, t, "SAME", "") for n, t in enumerate(texts)],
+        "entity_type string, name_id bigint, text string, code1 string, code2 string",
+    )
+
+
+def edited(rng, text, edits):
+    for _ in range(edits):
+        at = rng.randrange(len(text) + 1)
+        text = rng.choice([text[:at] + "x" + text[at:], text[:at] + text[at + 1:], text[:at] + "y" + text[at + 1:]])
+    return text
+
+
+@pytest.mark.parametrize("common_piece", [256, 4])
+@pytest.mark.parametrize(("distance", "size"), [(1, 12), (2, 5), (3, 7), (3, 40)])
+def test_near_names_of_any_length(spark, distance, size, common_piece):
+    if size == 40 and common_piece == 4:
+        size = 16  # what is left of long names after three deletions is tried on shorter ones
+    rng = random.Random(size)
+    base = ["".join(rng.choices("abcdefg", k=size)) for _ in range(6)]
+    texts = sorted({edited(rng, rng.choice(base), rng.randint(0, distance + 1)) for _ in range(45)} | {"", "a", "ab", "abc"})
+    assert rows(near_names(as_names(spark, texts), distance, common_piece)) == sorted(all_near(texts, distance), key=repr)
+
+
+def test_common_pieces_do_not_pair_all_with_all(spark):
+    """Names that differ in a number only share most pieces; few of them are near."""
+    texts = [f"CUSTOMER NUMBER {n:06d}" for n in random.Random(4).sample(range(10**6), 600)]
+    assert rows(near_names(as_names(spark, texts), 1, 16)) == sorted(all_near(texts, 1), key=repr)
+
+
+def test_names_of_one_code_are_linked_to_the_first(spark):
+    spelt = [("A", "Klueppel", None), ("A", "Klappel", None), ("B", "Klappel", None), ("A", "???", None), ("A", "!!", None)]
+    frame = entities(spark, spelt + [("A", "M" + v * n + "n", None) for n in range(1, 41) for v in "aeiou"])
+    linked = rows(same_code_names(distinct_names(frame)))
+    assert (0, 1, 2) in linked and not any({2, 3, 4} & set(link[:2]) for link in linked)
+    many = [link for link in linked if link[0] != 0]
+    assert len(many) == 199 and {link[0] for link in many} == {5}
+    assert rows(duplicate_clusters(frame), "entity_id", "cluster_id")[:2] == [(0, 0), (1, 0)]
+
+
+def test_a_common_key_is_dealt_to_several_tasks(spark):
+    given = spark.createDataFrame([("hot", n) for n in range(5000)] + [("a", 1), ("b", 2), ("c", 3)], "k string, id bigint")
+    per_key = spark.createDataFrame([("hot", 5000, "x"), ("a", 1, "y"), ("b", 1, None)], "k string, n bigint, v string")
+    joined = spread_join(given, per_key, ["k"], "n", 5003, "id")
+    assert joined.groupBy("k", "v").count().orderBy("k").collect() == [("a", "y", 1), ("b", None, 1), ("hot", "x", 5000)]
+    left = spread_join(given, per_key.filter("n > 1"), ["k"], "n", 5003, "id", "left")
+    assert rows(left.groupBy("v").count()) == [("x", 5000), (None, 3)]
+
+
 def test_copies_give_one_link_each(spark):
     frame = entities(spark, [("A", "Same", "Name")] * 200 + [("A", "Other", None)])
     pairs = duplicate_pairs(frame)

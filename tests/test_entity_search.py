@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from namelink.operators import contains_join
+from namelink.operators import contains_join, contains_stored, length_directory, substrings
 from namelink.plans.entity_index import build_entity_index
 from namelink.plans.entity_search import (
     best_fragment_per_entity,
@@ -15,7 +15,7 @@ from namelink.plans.entity_search import (
     sorted_matches,
 )
 from namelink.schemas import ENTITY, ENTITY_INDEX
-from namelink.sources import seed_entities
+from namelink.sources import publish_index, read_index, seed_entities
 
 from helpers import plan, rows
 
@@ -51,6 +51,46 @@ def test_contains_join_equals_the_naive_join(spark):
     assert "SortMergeJoin" in plan(joined)
 
 
+def test_long_codes_and_long_fragments(spark):
+    rng = random.Random(9)
+    codes = ["".join(rng.choices("ABCN", k=n)) for n in (0, 1, 31, 32, 33, 200, 400)]
+    pieces = {c[a:a + n] for c in codes for a in (0, 3, 50) for n in (1, 5, 31, 32, 33, 40, 120)} - {""}
+    pieces |= {p[:-1] + "X" for p in pieces} | {codes[-1] * 2}
+    queries = spark.createDataFrame([(c,) for c in codes], "code string")
+    index = spark.createDataFrame([(p, n) for n, p in enumerate(sorted(pieces))], "phonetic_name string, id int")
+    naive = sorted((c, p) for c in codes for p in pieces if p in c)
+    assert rows(contains_join(queries, index), "code", "phonetic_name") == naive
+    stored = read_index(spark, publish_index(index, 3, least_share=1))
+    assert rows(contains_stored(queries, stored), "code", "phonetic_name") == naive
+    assert rows(stored.index) == rows(index)
+
+
+def test_probes_grow_with_the_code_not_with_its_square(spark):
+    index = spark.createDataFrame([("AB",), ("ABCAB",), ("B",), ("A" * 5000,)], "phonetic_name string")
+    code = "".join(random.Random(1).choices("ABC", k=10_000))
+    one = spark.createDataFrame([(code,), ("",)], "code string").withColumn("lengths", length_directory(index))
+    probes = one.select(F.size(substrings(F.col("code"), F.col("lengths"))).alias("n")).collect()
+    assert probes[0]["n"] <= 3 * len(code) and probes[1]["n"] == 0
+    assert contains_join(one.select("code"), index).count() == 3
+
+
+def test_a_stored_index_is_not_shuffled(spark):
+    entities = seed_entities(spark)
+    stored = read_index(spark, publish_index(build_entity_index(entities)))
+    terms = search_terms(spark, "Austin Dallas", "Moon")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = contains_stored(encoded_terms(terms), stored)
+        text = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    side = text[text.index("SortMergeJoin"):].split("phonetic_name")[0]
+    assert "SortMergeJoin" in text and "Bucketed: true" in text
+    assert text.count("Exchange hashpartitioning") == 1, side
+    found = find_entity_matches(terms, entities, stored)
+    assert rows(found) == rows(find_entity_matches(terms, entities, build_entity_index(entities)))
+
+
 def test_equal_values_collapse_and_hot_copies_stay_one_row(spark):
     copies = [(i, "Loan Officer", "Auston", "Matthew", "t", i) for i in range(1, 301)]
     other = [(900, "County", "Dallas", None, "t", 900)]

@@ -1,25 +1,30 @@
 import pytest
 
-from namelink.operators import assign_ids, lookup_claims
+from namelink.operators import lookup_claims
 from namelink.plans.entity_index import build_entity_index
-from namelink.schemas import CLAIM, ENTITY_INDEX
+from namelink.schemas import CLAIM
 from namelink.sources import check_constraints, publish_index, read_index, seed_entities
 
 from helpers import rows
 
 
-def test_publish_replaces_the_index_as_a_whole(spark, tmp_path):
-    path = str(tmp_path / "index")
-    with pytest.raises(FileNotFoundError):
-        read_index(spark, path, ENTITY_INDEX)
+def test_every_publication_stays_as_it_was(spark):
     index = build_entity_index(seed_entities(spark))
-    assert publish_index(index, path) == 1
-    old = read_index(spark, path, ENTITY_INDEX)
-    assert publish_index(index.filter("entity_id > 5"), path) == 2
-    assert read_index(spark, path, ENTITY_INDEX).filter("entity_id <= 5").isEmpty()
-    assert rows(old) == rows(index)  # a reader keeps the version it opened
-    (tmp_path / "index" / "version=3").mkdir()  # a write that never finished
-    assert read_index(spark, path, ENTITY_INDEX).count() < index.count()
+    first, second = publish_index(index, 4), publish_index(index.filter("entity_id > 5"), 4)
+    assert first != second  # nobody else can get a publication's name
+    assert rows(read_index(spark, first).index) == rows(index)
+    assert read_index(spark, second).index.filter("entity_id <= 5").isEmpty()
+    assert rows(read_index(spark, publish_index(index.limit(0))).index) == []
+    with pytest.raises(Exception, match="index_none"):
+        read_index(spark, "index_none")
+
+
+def test_common_fragments_are_dealt_to_several_buckets(spark):
+    index = spark.createDataFrame([("A", n) for n in range(500)] + [("B", 1)], "phonetic_name string, entity_id bigint")
+    stored = read_index(spark, publish_index(index, 4, least_share=50))
+    assert rows(stored.common) == [("A", 10)]
+    assert stored.rows.filter("probe = 'A'").select("slice").distinct().count() == 10
+    assert rows(stored.index) == rows(index)
 
 
 def test_constraints(spark):
@@ -53,18 +58,10 @@ def test_lookup_claims(spark):
         lookup_claims(claims, empty).collect()
 
 
-def test_assign_ids_counts_across_blocks(spark):
-    frame = spark.createDataFrame([(k * k - 50,) for k in range(40)], "k bigint")
-    numbered = assign_ids(frame, "k", "id", start=3, block=7)
-    assert rows(numbered, "id", "k") == sorted(
-        [(i, k) for i, k in enumerate(sorted(k * k - 50 for k in range(40)), start=3)], key=repr
-    )
-
-
-def test_publishing_goes_on_after_a_failed_write(spark, tmp_path):
-    index = spark.createDataFrame([("A", 1)], "phonetic_name string, entity_id int")
-    path = str(tmp_path / "index")
-    publish_index(index, path)
-    (tmp_path / "index" / "version=2").mkdir()
-    assert publish_index(index, path) == 2
-    assert read_index(spark, path, index.schema).count() == 1
+def test_seeded_rows_keep_the_order_of_their_keys(spark):
+    rest = spark.createDataFrame(
+        [("T", f"v{k}", None, "t", k) for k in (7, 0, 3)],
+        "entity_type string, entity_value1 string, entity_value2 string, source_table string, source_key bigint")
+    found = seed_entities(spark, rest)
+    assert rows(found.filter("entity_id > 11"), "entity_id", "source_key") == [(12, 0), (15, 3), (19, 7)]
+    assert found.count() == 14
