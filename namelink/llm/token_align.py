@@ -1,14 +1,16 @@
 """Cross-tokenizer alignment, each distinct text once.
 
 Texts are shuffled whole, so that equal ones become one row with a count. Each distinct text
-is tokenised by both tokenizers and aligned by byte offsets in one place. Its links are kept
+is tokenised by both tokenizers and aligned by byte offsets in one place, word by word. Its links are kept
 packed, next to the links of the other texts of its block; the block's distinct id pairs
 leave as rows, weighted by how many documents hold them. The counts of all documents come
 back to the blocks, where every text gets its measures, and these are joined to the
 documents by the texts' digests.
 """
 
+import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +20,10 @@ from .shared import pieces, staged
 
 #: Code points of the texts of one block, and texts tokenised in one call.
 BLOCK_CHARS, CALL_TEXTS = 4_000_000, 64
+#: New parts that are encoded as one text, and the most parts that a worker remembers.
+JOINED_PARTS, MOST_PARTS = 500, 300_000
+_CUT, _CUT_BEFORE = re.compile(r"[^\s\x1c-\x1f] "), re.compile(r"(?<=[^\s\x1c-\x1f])(?= )")
+_ODD = re.compile(r"[\s\x1c-\x1f] | $")
 #: Share of all documents that one task may read for one text.
 SPREAD = 10_000
 PAIR = 1 << 32
@@ -72,26 +78,47 @@ class Aligner:
         n_a, n_b = len(self.bytes_a), len(self.bytes_b)
         self.written = [f"{i}{end}" for end, n in ((",", n_a), ("|", n_a), (",", n_b), (";", n_b)) for i in range(n)]
 
-    def encode(self, texts):
-        """Token ids of both tokenizers for each text."""
-        first = self.first.encode_batch([" " + t for t in texts], add_special_tokens=False)
-        return zip([e.ids for e in first], self.second.encode(texts, num_threads=1))
-
-    def align(self, text, a, b):
-        """(n_a, n_b, n_groups, n_links, written groups, link pairs) or None if the bytes differ."""
-        raw = b" " + text.encode()
-        if not text or b"".join([self.bytes_a[i] for i in a]) != raw or b"".join([self.bytes_b[i] for i in b]) != raw:
-            return None
+        # A space after another character starts a new token of either vocabulary.
+        if any(_CUT.search(x.decode(errors="replace")) for x in (*self.bytes_a, *self.bytes_b)):
+            raise ValueError("a token of one of the vocabularies spans several words")
+        self.known = {}
+
+    def _ids(self, raw):
+        """Token ids of both tokenizers for a text after its leading space."""
+        first = self.first.encode(raw, add_special_tokens=False).ids
+        # the second tokenizer adds the space itself, but not to an empty text
+        second = self.second.encode(raw[1:]) if len(raw) > 1 else [self.second.piece_to_id("▁")]
+        return first, second
+
+    def _aligned(self, parts):
+        """What each of some parts gives, which are encoded as one text; None if its bytes differ."""
+        raw = "".join(parts)
+        a, b = self._ids(raw)
+        whole = raw.encode()
+        if b"".join([self.bytes_a[i] for i in a]) != whole or b"".join([self.bytes_b[i] for i in b]) != whole:
+            return [None] if len(parts) == 1 else [self._aligned([p])[0] for p in parts]
         a, b = np.array(a, "i8"), np.array(b, "i8")
         ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
         # Two tokens overlap in exactly one stretch between neighbouring ends of either side.
         last_a, last_b = np.isin(ends_a, ends_b), np.isin(ends_b, ends_a)
-        ends = np.concatenate([ends_a, ends_b[~last_b]])
+        ends = np.union1d(ends_a, ends_b)
         pairs = a[np.searchsorted(ends_a, ends)] * PAIR + b[np.searchsorted(ends_b, ends)]
-        return len(a), len(b), int(last_a.sum()), len(ends), self._groups(a, b, last_a, last_b), pairs
-
-    def _groups(self, a, b, last_a, last_b):
-        """Ids in order, group by group, A before B."""
+        order = self._order(a, b, last_a, last_b)
+        upto = np.cumsum([len(p.encode()) for p in parts])
+        n_a, n_b, n_links = (np.searchsorted(e, upto, "right") for e in (ends_a, ends_b, ends))
+        n_groups = np.searchsorted(ends_a[last_a], upto, "right")
+        found, at, link, before = [], 0, 0, (0, 0, 0)
+        for k in range(len(parts)):
+            now = int(n_a[k]), int(n_b[k]), int(n_groups[k])
+            written = "".join([self.written[i] for i in order[at:now[0] + now[1]]])
+            # three counts of a part in one number, which add up without carrying over
+            counts = sum((y - x) << (42 * i) for i, (x, y) in enumerate(zip(before, now)))
+            found.append((counts, written, pairs[link:n_links[k]].tobytes()))
+            at, link, before = now[0] + now[1], n_links[k], now
+        return found
+
+    def _order(self, a, b, last_a, last_b):
+        """Ids in order, group by group, A before B, as places in ``written``."""
         n_a, n_b = len(self.bytes_a), len(self.bytes_b)
         group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
         before = np.searchsorted(group_b, group_a)  # B tokens of earlier groups
@@ -99,7 +126,44 @@ class Aligner:
         order = np.empty(len(a) + len(b), "i8")
         order[np.arange(len(a)) + before] = a + n_a * last_a
         order[np.arange(len(b)) + upto] = 2 * n_a + b + n_b * last_b
-        return "".join([self.written[i] for i in order.tolist()])[:-1]
+        return order.tolist()
+
+    def align_all(self, texts):
+        """(n_a, n_b, n_groups, written groups, link pairs) of each text, None if its bytes differ.
+
+        Tokens end where words end, so a text's alignment is that of its parts, and a part
+        that was met before is not encoded again.
+        """
+        if len(self.known) > MOST_PARTS:
+            self.known.clear()
+        lists = [_parts(" " + t) if t else [] for t in texts]
+        new = [p for p in dict.fromkeys(chain.from_iterable(lists)) if p not in self.known]
+        # parts that end in white space stand last in their texts, so they are encoded alone
+        joined = [p for p in new if not p[-1].isspace()]
+        for k in range(0, len(joined), JOINED_PARTS):
+            group = joined[k:k + JOINED_PARTS]
+            self.known.update(zip(group, self._aligned(group)))
+        self.known.update((p, self._aligned([p])[0]) for p in new if p[-1].isspace())
+        return [self._joined([self.known[p] for p in parts]) for parts in lists]
+
+    @staticmethod
+    def _joined(found):
+        if not found or None in found:
+            return None
+        counts, written, pairs = zip(*found)
+        total = sum(counts)
+        low = (1 << 42) - 1
+        return total & low, total >> 42 & low, total >> 84, "".join(written)[:-1], np.frombuffer(b"".join(pairs), "<i8")
+
+
+def _parts(raw):
+    """Parts of a text between which no token of a word vocabulary reaches: word by word.
+
+    A part starts where a space follows a character that no library takes for white space.
+    """
+    if _ODD.search(raw):
+        return _CUT_BEFORE.split(raw)
+    return [" " + word for word in raw[1:].split(" ")]
 
 
 @lru_cache(maxsize=2)
@@ -122,17 +186,16 @@ def _align_texts(byte_file, piece_file, block_chars):
         for batch in pieces(batches, CALL_TEXTS):
             texts = batch.column("text").to_pylist()
             columns = {f.name: [] for f in _ALIGNED if f.name not in ("digest", "n_docs")}
-            for text, (a, b) in zip(texts, tools.encode(texts)):
+            for text, found in zip(texts, tools.align_all(texts)):
                 if held and held + len(text) > block_chars:
                     k, held = k + 1, 0
                 held += len(text)
-                found = tools.align(text, a, b)
                 if found is None:
                     n_a = n_b = n_groups = n_links = 0
                     digest, pairs, times = "", b"", b""
                 else:
-                    n_a, n_b, n_groups, n_links, written, links = found
-                    digest = hashlib.sha256(written.encode()).hexdigest()
+                    n_a, n_b, n_groups, written, links = found
+                    digest, n_links = hashlib.sha256(written.encode()).hexdigest(), len(links)
                     pairs, times = np.unique(links, return_counts=True)
                     pairs, times = _pack(pairs, "<i8"), _pack(times, "<u4")
                 row = (n_a, n_b, n_groups, n_links, digest, f"{part}-{k}", pairs, times)

@@ -9,7 +9,7 @@ import sentencepiece
 from corpus_cases import awkward_texts, frame
 from tokenizers import Tokenizer, pre_tokenizers
 
-from namelink.llm.token_align import align_documents, align_texts, alignment_report
+from namelink.llm.token_align import Aligner, align_documents, align_texts, alignment_report
 
 FIRST, SECOND = tokens.path("byte_bpe_50k.json"), tokens.path("piece_bpe_32k.model")
 
@@ -86,6 +86,22 @@ def test_measures_match_brute_force(spark, libraries, block_chars):
         "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256").collect())) == brute(libraries, rows())
 
 
+def test_parts_give_what_whole_texts_give(libraries):
+    """Any mix of spaces, white space, signs and letters; one worker's memory throughout."""
+    import random
+
+    rng, tools = random.Random(5), Aligner(FIRST, SECOND)
+    pieces = [" ", "  ", "\n", "\t", "a", "Ab", "12", ".", "'s", "é", "\xa0", "\x1c", "\x85", "中", "💥", "▁", "<|endoftext|>", "<0x0A>", "</s>", "\u3000"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 12))) for _ in range(3000)]
+    for text, found in zip(texts, tools.align_all(texts)):
+        a, b = tokenise(libraries, text)
+        assert (found is None) == (not a), repr(text)
+        if found:
+            assert found[:2] == (len(a), len(b)), repr(text)
+            links = [(x[2], y[2]) for x in a for y in b if x[0] < y[1] and y[0] < x[1]]
+            assert [divmod(int(p), 1 << 32) for p in found[4]] == links, repr(text)
+
+
 def test_each_distinct_text_once(spark):
     found = align_texts(frame(spark, rows()), FIRST, SECOND).select("digest", "n_docs").collect()
     texts = Counter(t or "" for _, t in rows())
