@@ -21,6 +21,7 @@ from .functions import (
     total_distance,
 )
 from .operators import (
+    apply_alias_rules,
     contains_join,
     distinct_fragments,
     dob_gate_join,
@@ -37,6 +38,7 @@ from .operators import (
 )
 from .plans import claim_search, duplicates, entity_index, entity_search, party_index
 from .sources import check_constraints, publish_index, read_index, seed_entities
+from .storage import durable, new_folder
 
 #: Rows that the top_candidates query keeps per search; the limit is its feature.
 TOP_CANDIDATES = 20
@@ -382,12 +384,42 @@ def aliases(spark, d):
     return fx.claims(spark, d).select("claim_id", last.alias("last_name"), first.alias("first_name"))
 
 
+def aliases_by_rules(spark, d):
+    """Claims after a rule per party: the longest matching prefix names another person."""
+    applied = apply_alias_rules(
+        fx.claims(spark, d), fx.alias_rules(spark, d), "patient_last_name", "patient_first_name"
+    )
+    return applied.select(
+        "claim_id", F.col("patient_last_name").alias("last_name"), F.col("patient_first_name").alias("first_name")
+    )
+
+
 # --- duplicates ---------------------------------------------------------------------
 
 def clusters(spark, d):
     return duplicates.duplicate_clusters(fx.entities(spark, d))
 
 
+def clusters_by_steps(spark, d):
+    """Clusters of copies and near names, into which the links of equal codes are merged."""
+    entities = fx.entities(spark, d)
+    names = durable(duplicates.distinct_names(entities))
+    near = duplicates.near_names(names).select("left_id", "right_id")
+    alone = names.select(F.col("name_id").alias("entity_id"), F.col("name_id").alias("cluster_id"))
+    stored = durable(duplicates.merge_links(alone, near)[0])
+    merged = duplicates.merge_links(stored, duplicates.same_code_names(names))[0]
+    by_name = names.join(merged.withColumnRenamed("entity_id", "name_id"), "name_id")
+    return duplicates.per_entity(entities, by_name, "cluster_id")
+
+
+def stored_refresh(spark, d):
+    """A stored index, refreshed in place."""
+    folder = new_folder(spark, "party-index")
+    party_index.store_party_index(fx.old_party_index(spark, d), folder)
+    party_index.refresh_stored_index(*people(spark, d), folder, fx.NEW_USER)
+    return party_index.read_party_index(spark, folder)
+
+
 QUERIES = {
     "load_entities": fx.entities,
     "seed_entities": seeded_entities,
@@ -424,6 +456,7 @@ QUERIES = {
     "dob_distance": dob_distances,
     "total_distance": total_distances,
     "name_alias": aliases,
+    "name_alias_rules": aliases_by_rules,
     "match_score": match_scores,
     "party_scores": party_scores,
     "best_total_distance": lambda s, d: totals(s, d).select(
@@ -440,6 +473,7 @@ QUERIES = {
         "search_id", "party_id", "total_distance", "rank"),
     "fragment_union": all_party_fragments,
     "build_entity_index": entity_index_of,
+    "refresh_stored_index": stored_refresh,
     "refresh_party_index": lambda s, d: party_refresh(s, d)[1],
     "find_entity_matches": entity_matches,
     "find_entity_matches_prepared": prepared_entity_matches,
@@ -452,5 +486,6 @@ QUERIES = {
     "party_scores_stored": stored_party_scores,
     "duplicate_pairs": lambda s, d: duplicates.duplicate_pairs(fx.entities(s, d)),
     "duplicate_clusters": clusters,
+    "duplicate_clusters_by_steps": clusters_by_steps,
     "merge_duplicates": lambda s, d: duplicates.merge_duplicates(fx.entities(s, d), clusters(s, d)),
 }

@@ -151,3 +151,10 @@ def old_party_index(spark, sf_dir):
     rows = current.unionByName(retired).unionByName(corrected)
     user = F.lit(OLD_USER).cast("int")
     return conform(rows.select("*", user.alias("created_by"), user.alias("modified_by")), PARTY_INDEX)
+
+
+def alias_rules(spark, sf_dir):
+    """A rule per party with a last name: a prefix of two to six letters stands for the party."""
+    return parties(spark, sf_dir).filter(F.col("last_name").isNotNull()).select(
+        F.left("last_name", (F.col("party_id") % 5 + 2).cast("int")).alias("prefix"), "first_name", "last_name"
+    )

@@ -1,5 +1,6 @@
 """DataFrame operators the index builders and searches are made of."""
 
+from .aliases import apply_alias_rules
 from .contains import contains_join, contains_stored, length_directory, substrings
 from .fragments import distinct_fragments, fragment_union, without_empty_codes
 from .index_diff import index_changed, index_new_rows, index_stale, index_unchanged
@@ -17,6 +18,7 @@ from .ranking import (
 )
 
 __all__ = [
+    "apply_alias_rules",
     "contains_join",
     "contains_stored",
     "distinct_fragments",

@@ -11,15 +11,15 @@ def spread_join(rows, per_key, keys, count, total, spread_by, how="inner"):
     """Join ``rows`` to ``per_key``, one row per key with the number of its rows in ``count``.
 
     Keys with more than a share of the rows are dealt to several tasks by ``spread_by``, and
-    their row of ``per_key`` to each of them. ``total`` is at least the sum of the counts, so
-    fewer than ``SPREAD`` keys are dealt out and the list that is broadcast is short. A key
-    that ``per_key`` lacks is taken for a rare one: with ``how="left"`` it may hold only the
-    common keys.
+    their row of ``per_key`` to each of them. ``total``, a number or a scalar column, is at
+    least the sum of the counts, so fewer than ``SPREAD`` keys are dealt out and the list
+    that is broadcast is short. A key that ``per_key`` lacks is taken for a rare one: with
+    ``how="left"`` it may hold only the common keys.
     """
-    share = max(LEAST_SHARE, total // SPREAD + 1)
-    slots = F.ceil(F.col(count) / share).cast("int")
-    often = per_key.filter(F.col(count) > share).select(*keys, slots.alias("_slots"))
+    share = F.greatest(F.lit(LEAST_SHARE), F.floor(F.lit(total) / F.lit(SPREAD)) + 1)
+    counted = per_key.withColumn("_slots", F.ceil(F.col(count) / share).cast("int"))
+    often = counted.filter("_slots > 1").select(*keys, "_slots")
     dealt = F.pmod(F.xxhash64(spread_by), F.col("_slots")).cast("int")
     placed = rows.join(F.broadcast(often), keys, "left").withColumn("_slot", F.coalesce(dealt, F.lit(0)))
-    copies = per_key.withColumn("_slot", F.explode(F.sequence(F.lit(0), slots - 1)))
-    return placed.drop("_slots").join(copies, [*keys, "_slot"], how).drop("_slot")
+    copies = counted.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.col("_slots") - 1)))
+    return placed.drop("_slots").join(copies.drop("_slots"), [*keys, "_slot"], how).drop("_slot")

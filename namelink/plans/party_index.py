@@ -2,11 +2,13 @@
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import nysiis
 from ..operators import eligible_parties, fragment_union
 from ..operators.index_diff import KEY
 from ..schemas import PARTY_INDEX, WEIGHT
+from ..storage import durable
 
 
 def encode_parties(parties):
@@ -131,3 +133,48 @@ def refresh_party_index(parties, relationships, members, existing, user_id):
         expected_party_rows(parties, relationships, members), existing
     )
     return merge_party_index(compared, user_id), party_index_changes(compared, user_id)
+
+
+# --- a stored index, refreshed in place -------------------------------------------
+
+#: Partitions of a stored party index; a refresh rewrites those that hold a change.
+PARTS = 64
+
+
+def _with_part(rows, parts):
+    return rows.withColumn("part", F.pmod(F.xxhash64("party_id"), F.lit(parts)).cast("int"))
+
+
+def store_party_index(index, folder, parts=PARTS):
+    """Write a whole index into a new folder, partitioned by a hash of party_id."""
+    given = _with_part(index.select(*PARTY_INDEX.names), parts)
+    given.repartition(parts, "part").write.partitionBy("part").parquet(folder)
+
+
+def read_party_index(spark, folder):
+    schema = T.StructType([*PARTY_INDEX, T.StructField("part", T.IntegerType())])
+    return spark.read.schema(schema).parquet(folder).select(*PARTY_INDEX.names)
+
+
+def refresh_stored_index(parties, relationships, members, folder, user_id, parts=PARTS):
+    """Refresh a stored index in place and return the change set of the run.
+
+    Only partitions with an inserted, updated or deleted row are rewritten; the others keep
+    their files. The new rows are written down before the first file is replaced, and a
+    repeated refresh finds nothing left to change. ``parts`` is that of the stored index. A
+    partition never becomes empty: a party of the run has expected rows, and others keep
+    theirs.
+    """
+    spark = parties.sparkSession
+    existing = read_party_index(spark, folder)
+    compared = durable(_with_part(compare_party_index(
+        expected_party_rows(parties, relationships, members), existing
+    ), parts))
+    differs = F.col("action").isin("insert", "update", "delete")
+    touched = compared.filter(differs).select("part").distinct()
+    rewritten = compared.join(F.broadcast(touched), "part", "left_semi")
+    rows = _with_part(merge_party_index(rewritten, user_id), parts)
+    rows.repartition(parts, "part").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("part").parquet(folder)
+    return party_index_changes(compared, user_id)

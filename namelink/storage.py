@@ -1,6 +1,7 @@
 """The folder that all executors share, and frames written there to cut their lineage."""
 
 import tempfile
+import uuid
 
 
 def shared_folder(spark):
@@ -15,6 +16,11 @@ def shared_folder(spark):
     return folder
 
 
+def new_folder(spark, name):
+    """A folder under the shared one that nobody else gets."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def durable(frame):
     """Cut lineage with a checkpoint on shared storage; it outlives lost executors."""
     context = frame.sparkSession.sparkContext

@@ -10,6 +10,7 @@ from namelink.plans.duplicates import (
     duplicate_clusters,
     duplicate_pairs,
     merge_duplicates,
+    merge_links,
     near_names,
     same_code_names,
 )
@@ -164,3 +165,20 @@ def test_components_of_chains_stars_and_noise(spark):
     label = union_find({n for link in links for n in link}, links)
     expected = sorted([(n, c) for n, c in label.items() if n != c], key=repr)
     assert rows(connected_components(frame, "a", "b")) == expected
+
+
+def test_links_are_merged_into_stored_clusters(spark):
+    rng = random.Random(13)
+    nodes = range(120)
+    old = [(rng.choice(nodes), rng.choice(nodes)) for _ in range(40)]
+    new = [(rng.choice(nodes), rng.choice(nodes)) for _ in range(25)] + [(500, 3), (501, 502), (503, 503)]
+    before = union_find(nodes, old)
+    after = union_find([*nodes, 500, 501, 502, 503], old + new)
+    stored = spark.createDataFrame(list(before.items()), "entity_id bigint, cluster_id bigint")
+    links = spark.createDataFrame(new, "left_id bigint, right_id bigint")
+    merged, changed = merge_links(stored, links)
+    assert rows(merged) == sorted(after.items(), key=repr)
+    assert rows(changed) == sorted([(n, c) for n, c in after.items() if before.get(n, n) != c], key=repr)
+    again, changed = merge_links(merged, links)
+    assert changed.isEmpty() and rows(again) == rows(merged)
+    assert rows(merge_links(stored, links.limit(0))[0]) == rows(stored)

@@ -1,4 +1,12 @@
-from namelink.plans.party_index import build_party_index, refresh_party_index
+from pathlib import Path
+
+from namelink.plans.party_index import (
+    build_party_index,
+    read_party_index,
+    refresh_party_index,
+    refresh_stored_index,
+    store_party_index,
+)
 from namelink.schemas import MEMBER, PARTY, RELATIONSHIP
 
 from helpers import rows
@@ -66,3 +74,31 @@ def test_repeated_rows_are_deleted_and_the_right_copy_stays(spark):
     refreshed, changes = refresh_party_index(*given, index.union(stale), 8)
     assert actions(changes) == {"keep": 8, "delete": 2}
     assert rows(refreshed) == rows(index)
+
+
+def files_by_part(folder):
+    return {p.name: {f.name for f in p.glob("*.parquet")} for p in Path(folder).glob("part=*")}
+
+
+def test_stored_refresh_rewrites_only_what_changed(spark, tmp_path):
+    folder = str(tmp_path / "index")
+    names = [(i, f"Name{i % 17}", "Dallas" if i % 2 else "Moon") for i in range(1, 201)]
+    given = people(spark, names, range(1, 181))
+    old = build_party_index(*given, 7)
+    store_party_index(old, folder, parts=16)
+    before = files_by_part(folder)
+    assert len(before) == 16 and rows(read_party_index(spark, folder)) == rows(old)
+
+    assert actions(refresh_stored_index(*given, folder, 8, parts=16)) == {"keep": 1440}
+    assert files_by_part(folder) == before
+
+    renamed = [(i, "Chandwani" if i in (3, 77) else f, l) for i, f, l in names]
+    changed = people(spark, renamed, [*range(1, 180), 190])
+    full, changes = refresh_party_index(*changed, old, 8)
+    assert rows(refresh_stored_index(*changed, folder, 8, parts=16)) == rows(changes)
+    assert rows(read_party_index(spark, folder)) == rows(full)
+    after = files_by_part(folder)
+    touched = {part for part in before if after[part] != before[part]}
+    assert after.keys() == before.keys() and 1 <= len(touched) <= 3  # parties 3, 77 and 190
+    assert actions(refresh_stored_index(*changed, folder, 9, parts=16)) == {"keep": 8 * 180}
+    assert files_by_part(folder) == after

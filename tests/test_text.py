@@ -11,6 +11,9 @@ from namelink.functions import (
     split_tokens,
     strip_name_suffix,
 )
+from namelink.operators import apply_alias_rules
+
+from helpers import rows
 
 
 def one(spark, expression, **values):
@@ -79,3 +82,24 @@ def test_dates_and_names(spark):
     last, first = name_alias("a", "b")
     assert one(spark, F.array(last, first), a="Federal Bureau", b=None) == ["JAMES", "JESSE"]
     assert one(spark, F.array(last, first), a="Moon", b="Austyn") == ["Moon", "Austyn"]
+
+
+def test_alias_rules_take_the_longest_prefix(spark):
+    rules = [("fed", "A", "Short"), ("FEDERAL", "Jesse", "James"), ("Federal", "Zed", "James"), ("", "no", "no"),
+             (None, "no", "no"), ("éa", None, "Accent"), ("x" * 40, "Long", "Prefix")]
+    rules += [(f"r{n:05d}", f"first{n}", f"last{n}") for n in range(10_000)]
+    claims = [(1, "Federal Bureau", "x"), (2, "FEDORA", "y"), (3, "Fe", "z"), (4, None, "n"), (5, "Éamon", "e"),
+              (6, "R09999 and more", None), (7, "r1234", "short"), (8, "X" * 41, "l"), (9, "", "")]
+    claims += [(100 + n, "federal office", str(n)) for n in range(3000)]
+    frame = spark.createDataFrame(claims, "claim_id bigint, last string, first string")
+    done = apply_alias_rules(frame, spark.createDataFrame(rules, "prefix string, first_name string, last_name string"), "last", "first")
+    assert done.columns == frame.columns
+    got = {r["claim_id"]: (r["last"], r["first"]) for r in done.collect()}
+    assert len(got) == len(claims)
+    assert {got[n] for n in range(100, 3100)} == {("James", "Jesse")}
+    assert [got[n] for n in range(1, 10)] == [
+        ("James", "Jesse"), ("Short", "A"), ("Fe", "z"), (None, "n"), ("Accent", None), ("last9999", "first9999"),
+        ("r1234", "short"), ("Prefix", "Long"), ("", ""),
+    ]
+    none = apply_alias_rules(frame, spark.createDataFrame([], "prefix string, first_name string, last_name string"), "last", "first")
+    assert rows(none) == rows(frame)
