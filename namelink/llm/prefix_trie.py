@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .shared import new_folder, pieces, staged
 
 #: Turns in a container beyond which it bursts, and the most containers that may burst a round.
-BURST_TURNS, MOST_HEADS = 20_000, 10_000
+BURST_TURNS, MOST_HEADS = 2_000, 10_000
 #: Bytes of a turn id: 16 of its digest, 8 of its number of code points.
 UNIT = 24
 #: Conversations a base conversation lends its first turns to, and the most turns it lends.
