@@ -142,12 +142,16 @@ class TokenFile:
 
 @lru_cache(maxsize=4)
 def _encoder(tokenizer_file):
-    """Ids of text parts as bytes, remembered by this worker across its tasks."""
+    """A function from texts to their ids as bytes; text parts are remembered across tasks.
+
+    A text that holds the string of a special token is encoded as a whole, since the library
+    cuts texts there before it looks for words.
+    """
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
     tokenizer = Tokenizer.from_file(tokenizer_file)
-    tokenizer.encode_special_tokens = True
+    special = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
 
     starts = np.zeros(tokenizer.get_vocab_size(), bool)
     starts[[i for token, i in tokenizer.get_vocab().items() if token.startswith(SPACE)]] = True
@@ -171,19 +175,27 @@ def _encoder(tokenizer_file):
             found.update(zip(own, [raw[a:b] for a, b in zip(ends, ends[1:])]))
         return [found[p] for p in parts]
 
-    return PartCache(encode)
+    cache = PartCache(encode)
+
+    def encode_texts(texts):
+        whole = [k for k, text in enumerate(texts) if any(x in text for x in special)]
+        found = cache.of_all([parts_of("" if k in whole else text) for k, text in enumerate(texts)])
+        for k, ids in zip(whole, each([texts[k] for k in whole])):
+            found[k] = ids
+        return found
+
+    return encode_texts
 
 
 def _writer(folder, tokenizer_file, end_id, level, frame_bytes):
     end = struct.pack("<I", end_id)
 
     def write(batches):
-        cache, writer, path = _encoder(tokenizer_file), None, None
+        encode_texts, writer, path = _encoder(tokenizer_file), None, None
         for batch in pieces(batches):
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
             for at in range(0, len(texts), ENCODE_DOCS):
-                parts = [parts_of(text) for text in texts[at:at + ENCODE_DOCS]]
-                encoded = cache.of_all(parts)
+                encoded = encode_texts(texts[at:at + ENCODE_DOCS])
                 if writer is None:
                     fs, base = filesystem(folder)
                     fs.create_dir(base, recursive=True)

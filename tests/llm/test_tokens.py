@@ -47,8 +47,9 @@ def test_parts_do_not_depend_on_each_other(library, encoding):
         assert [i for p in parts for i in encoding.encode_ordinary(p)] == encoding.encode_ordinary(text)
 
 
-def test_token_files_match_the_library(spark, library):
-    rows = awkward_texts()
+def test_token_files_match_the_library(spark):
+    library = Tokenizer.from_file(JSON)  # as it is: strings of special tokens are special tokens
+    rows = awkward_texts() + [(40, "a  <|endoftext|>  b <|endoftext|>"), (41, "<|endoftext|>"), (42, "<|endoftext |>")]
     got = token_file_round_trip(frame(spark, rows), JSON).collect()
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
     expected, start = [], 0
