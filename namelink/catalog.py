@@ -150,7 +150,8 @@ def best_fragments(spark, d):
 # --- party index ---------------------------------------------------------------
 
 def people(spark, d):
-    return fx.parties(spark, d), fx.relationships(spark, d), fx.members(spark, d)
+    """Parties, relationships and members; the parties are derived once and written down."""
+    return durable(fx.parties(spark, d)), fx.relationships(spark, d), fx.members(spark, d)
 
 
 def expected_rows(spark, d):
@@ -158,8 +159,9 @@ def expected_rows(spark, d):
 
 
 def party_refresh(spark, d):
+    everyone = people(spark, d)
     return party_index.refresh_party_index(
-        *people(spark, d), fx.old_party_index(spark, d), fx.NEW_USER
+        *everyone, fx.old_party_index(spark, d, everyone[0]), fx.NEW_USER
     )
 
 
@@ -177,7 +179,7 @@ def all_party_fragments(spark, d):
 def searches_and_parties(spark, d):
     everyone = people(spark, d)
     index = party_index.build_party_index(*everyone, fx.NEW_USER)
-    encoded = claim_search.encode_claims(fx.claims(spark, d))
+    encoded = claim_search.encode_claims(fx.claims(spark, d, everyone[0]))
     return encoded, claim_search.prepare_party_search(*everyone, index)
 
 
@@ -199,33 +201,37 @@ def totals(spark, d):
 def party_matches(spark, d):
     everyone = people(spark, d)
     index = party_index.build_party_index(*everyone, fx.NEW_USER)
-    return claim_search.find_party_matches(fx.claims(spark, d), *everyone, index)
+    return claim_search.find_party_matches(fx.claims(spark, d, everyone[0]), *everyone, index)
 
 
 def literal_party_matches(spark, d):
     everyone = people(spark, d)
     index = party_index.build_party_index(*everyone, fx.NEW_USER)
     return claim_search.find_party_matches(
-        fx.claims(spark, d), *everyone, index, keep_empty_codes=True
+        fx.claims(spark, d, everyone[0]), *everyone, index, keep_empty_codes=True
     )
 
 
 def stored_party_matches(spark, d):
     """Search a stored index that was never refreshed: other members, variants and fields."""
-    stored = read_index(spark, publish_index(fx.old_party_index(spark, d)))
-    return claim_search.find_party_matches(fx.claims(spark, d), *people(spark, d), stored.index)
+    everyone = people(spark, d)
+    stored = read_index(spark, publish_index(fx.old_party_index(spark, d, everyone[0])))
+    return claim_search.find_party_matches(fx.claims(spark, d, everyone[0]), *everyone, stored.index)
 
 
 def refreshed_party_matches(spark, d):
     """Refresh a stored index, store the result and search that."""
-    stored = read_index(spark, publish_index(party_refresh(spark, d)[0]))
-    return claim_search.find_party_matches(fx.claims(spark, d), *people(spark, d), stored.index)
+    everyone = people(spark, d)
+    old = fx.old_party_index(spark, d, everyone[0])
+    refreshed = party_index.refresh_party_index(*everyone, old, fx.NEW_USER)[0]
+    stored = read_index(spark, publish_index(refreshed))
+    return claim_search.find_party_matches(fx.claims(spark, d, everyone[0]), *everyone, stored.index)
 
 
 def stored_party_scores(spark, d):
     everyone = people(spark, d)
-    prepared = claim_search.prepare_party_search(*everyone, fx.old_party_index(spark, d))
-    searches = claim_search.distinct_searches(claim_search.encode_claims(fx.claims(spark, d)))
+    prepared = claim_search.prepare_party_search(*everyone, fx.old_party_index(spark, d, everyone[0]))
+    searches = claim_search.distinct_searches(claim_search.encode_claims(fx.claims(spark, d, everyone[0])))
     return claim_search.scored_candidates(claim_search.candidate_pairs(searches, prepared)).select(
         "search_id", "party_id", "weight", "types", "cnt", "score"
     )
@@ -402,7 +408,7 @@ def clusters(spark, d):
 
 def clusters_by_steps(spark, d):
     """Clusters of copies and near names, into which the links of equal codes are merged."""
-    entities = fx.entities(spark, d)
+    entities = durable(duplicates.with_name(fx.entities(spark, d)))
     names = durable(duplicates.distinct_names(entities))
     near = duplicates.near_names(names).select("left_id", "right_id")
     alone = names.select(F.col("name_id").alias("entity_id"), F.col("name_id").alias("cluster_id"))
@@ -414,9 +420,9 @@ def clusters_by_steps(spark, d):
 
 def stored_refresh(spark, d):
     """A stored index, refreshed in place."""
-    folder = new_folder(spark, "party-index")
-    party_index.store_party_index(fx.old_party_index(spark, d), folder)
-    party_index.refresh_stored_index(*people(spark, d), folder, fx.NEW_USER)
+    folder, everyone = new_folder(spark, "party-index"), people(spark, d)
+    party_index.store_party_index(fx.old_party_index(spark, d, everyone[0]), folder)
+    party_index.refresh_stored_index(*everyone, folder, fx.NEW_USER)
     return party_index.read_party_index(spark, folder)
 
 

@@ -104,11 +104,15 @@ def members(spark, sf_dir, status="F"):
     return conform(rows, MEMBER)
 
 
-def claims(spark, sf_dir):
-    """One claim per party: some swapped, misspelt, aliased, with a wrong or no DOB."""
+def claims(spark, sf_dir, everyone=None):
+    """One claim per party: some swapped, misspelt, aliased, with a wrong or no DOB.
+
+    ``everyone`` saves deriving the parties again where they are at hand.
+    """
+    everyone = parties(spark, sf_dir) if everyone is None else everyone
     pid = F.col("party_id")
     first, last, dob = F.col("first_name"), F.col("last_name"), F.col("dob")
-    rows = parties(spark, sf_dir).select(
+    rows = everyone.select(
         (pid + 1000000).alias("claim_id"),
         F.concat(F.lit("PC"), F.lpad(pid.cast("string"), 7, "0")).alias("stamp_number"),
         F.when(pid % 200 == 33, F.lit("FEDERAL BUREAU"))
@@ -123,11 +127,11 @@ def claims(spark, sf_dir):
     return conform(rows, CLAIM)
 
 
-def old_party_index(spark, sf_dir):
+def old_party_index(spark, sf_dir, everyone=None):
     """An index to refresh: other members, other names, retired and repeated rows."""
     pid = F.col("party_id")
     renamed = pid % 5 == 0
-    everyone = parties(spark, sf_dir)
+    everyone = parties(spark, sf_dir) if everyone is None else everyone
     old = everyone.withColumn(
         "first_name", F.when(renamed, F.col("last_name")).otherwise(F.col("first_name"))
     )
