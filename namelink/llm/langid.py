@@ -6,6 +6,7 @@ backward passes give each word's probability of each language, so text that swit
 languages is labelled word by word; a document's language has the largest mean.
 """
 
+import pickle
 import zlib
 from collections import Counter
 
@@ -210,13 +211,13 @@ class Labeller:
         self._forget()
 
     def _forget(self):
-        self.rows, self.table = {}, np.zeros((1, len(self.model.langs)))
+        self.rows, self.words, self.table = {}, {}, np.zeros((1, len(self.model.langs)))
 
     def posteriors(self, texts):
         """(posteriors, words per text) of the words with letters of some whole texts."""
         if len(self.rows) > REMEMBERED:
             self._forget()
-        known, rows, lengths, per_text, new = self.rows, [], [], [], []
+        known, by_word, rows, lengths, per_text, new = self.rows, self.words, [], [], [], []
         for text in texts:
             total = 0
             for line in text.split("\n"):
@@ -224,9 +225,10 @@ class Labeller:
                 for t in tokens:
                     if t not in known:
                         word = letters_of(t)
-                        known[t] = len(self.table) + len(new) if word else 0
-                        if word:
+                        if word and word not in by_word:  # tokens that differ in signs or case share a word
+                            by_word[word] = len(self.table) + len(new)
                             new.append(word)
+                        known[t] = by_word[word] if word else 0
                 own = [r for r in [known[t] for t in tokens] if r]
                 if own:
                     rows += own
@@ -272,8 +274,8 @@ class Labeller:
         return found
 
 
-def labelled_sample(docs, docs_per_lang=SAMPLE_DOCS):
-    """About ``docs_per_lang`` (text, lang) rows of each language outside the held-out fold.
+def _sample_rows(docs, docs_per_lang):
+    """About ``docs_per_lang`` rows of each language outside the held-out fold, None without any.
 
     Rows are chosen by a hash of the id against each language's own share, in one pass and
     without sorting.
@@ -283,13 +285,30 @@ def labelled_sample(docs, docs_per_lang=SAMPLE_DOCS):
     )
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
-        return []
+        return None
     share = F.element_at(
         F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, docs_per_lang / n))]), F.col("lang")
     )
     chosen = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000)) < share * 1_000_000
-    rows = known.filter(chosen).select("doc_id", "text", "lang").limit(2 * docs_per_lang * len(counts)).collect()
-    return [(r["text"], r["lang"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"], r["lang"]))]
+    return known.filter(chosen).select("doc_id", "text", "lang").limit(2 * docs_per_lang * len(counts))
+
+
+def _ordered(rows):
+    """The (text, lang) rows that are learnt from, in order of their ids."""
+    return [(text, lang) for _, text, lang in sorted(tuple(r) for r in rows)]
+
+
+def fitted(docs, docs_per_lang=SAMPLE_DOCS):
+    """The model learnt from the labelled sample, in one task; the driver gets the model only."""
+    rows = _sample_rows(docs, docs_per_lang)
+    if rows is None:
+        return train([])
+
+    def fit(batches):
+        given = [x for batch in batches for x in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "lang")))]
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(_ordered(given)))], pa.binary())], names=["model"])
+
+    return pickle.loads(rows.coalesce(1).mapInArrow(fit, "model binary").first()["model"])
 
 
 def held_out():
@@ -352,5 +371,4 @@ def keep_languages(docs, model, least_score):
 
 def language_id(docs):
     """Learn from the labelled documents outside the held-out fold and predict all."""
-    model = train(labelled_sample(docs))
-    return predict_languages(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+    return predict_languages(docs, fitted(docs)).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
