@@ -88,6 +88,12 @@ def entity_index_of(spark, d):
     return entity_index.build_entity_index(fx.entities(spark, d))
 
 
+def indexed_entities(spark, d):
+    """Entities, derived once and written down, and their index."""
+    entities = durable(fx.entities(spark, d))
+    return entities, entity_index.build_entity_index(entities)
+
+
 def encoded_entities(spark, d):
     return entity_index.encode_entities(fx.entities(spark, d))
 
@@ -97,12 +103,8 @@ def preview(spark, d):
     return entity_index.index_preview(raw.drop("variant"))
 
 
-def stored_entity_index(spark, d):
-    return read_index(spark, publish_index(entity_index_of(spark, d)))
-
-
 def published_index(spark, d):
-    return stored_entity_index(spark, d).index
+    return read_index(spark, publish_index(entity_index_of(spark, d))).index
 
 
 def constraint_report(spark, d):
@@ -117,33 +119,31 @@ def constraint_report(spark, d):
 
 
 def entity_matches(spark, d):
-    return entity_search.find_entity_matches(
-        fx.terms(spark, d), fx.entities(spark, d), entity_index_of(spark, d)
-    )
+    return entity_search.find_entity_matches(fx.terms(spark, d), *indexed_entities(spark, d))
 
 
 def stored_entity_matches(spark, d):
     """The search of a published index."""
-    return entity_search.find_entity_matches(
-        fx.terms(spark, d), fx.entities(spark, d), stored_entity_index(spark, d)
-    )
+    entities, index = indexed_entities(spark, d)
+    stored = read_index(spark, publish_index(index))
+    return entity_search.find_entity_matches(fx.terms(spark, d), entities, stored)
 
 
 def prepared_entity_matches(spark, d):
     """The large-batch form of the search, whatever the number of terms."""
-    prepared = entity_search.prepare_entity_search(fx.entities(spark, d), entity_index_of(spark, d))
+    prepared = entity_search.prepare_entity_search(*indexed_entities(spark, d))
     best = entity_search.search_prepared(entity_search.encoded_terms(fx.terms(spark, d)), prepared)
     return entity_search.with_distance(best).drop("search_term")
 
 
 def term_hits(spark, d):
     encoded = entity_search.encoded_terms(fx.terms(spark, d))
-    return contains_join(encoded, entity_index_of(spark, d)).drop("search_term")
+    return contains_join(encoded, indexed_entities(spark, d)[1]).drop("search_term")
 
 
 def best_fragments(spark, d):
     encoded = entity_search.encoded_terms(fx.terms(spark, d))
-    joined = entity_search.entity_index_join(fx.entities(spark, d), entity_index_of(spark, d))
+    joined = entity_search.entity_index_join(*indexed_entities(spark, d))
     return entity_search.best_fragment_per_entity(contains_join(encoded, joined))
 
 
@@ -435,8 +435,7 @@ QUERIES = {
     "publish_entity_index": published_index,
     "merge_party_index": lambda s, d: party_refresh(s, d)[0],
     "check_constraints": constraint_report,
-    "entity_index_join": lambda s, d: entity_search.entity_index_join(
-        fx.entities(s, d), entity_index_of(s, d)),
+    "entity_index_join": lambda s, d: entity_search.entity_index_join(*indexed_entities(s, d)),
     "contains_join": term_hits,
     "dob_gate_join": dob_gated,
     "eligible_fanout": lambda s, d: eligible_fanout(*people(s, d)[1:]),
@@ -479,6 +478,8 @@ QUERIES = {
         "search_id", "party_id", "total_distance", "rank"),
     "fragment_union": all_party_fragments,
     "build_entity_index": entity_index_of,
+    "build_entity_index_by_name": lambda s, d: entity_index.build_entity_index(indexed_entities(s, d)[0], by_name=True),
+    "expected_rows_by_name": lambda s, d: party_index.expected_party_rows(*people(s, d), by_name=True),
     "refresh_stored_index": stored_refresh,
     "refresh_party_index": lambda s, d: party_refresh(s, d)[1],
     "find_entity_matches": entity_matches,

@@ -2,6 +2,7 @@
 
 from .aliases import apply_alias_rules
 from .contains import contains_join, contains_stored, length_directory, substrings
+from .dictionary import encode_once
 from .fragments import distinct_fragments, fragment_union, without_empty_codes
 from .index_diff import index_changed, index_new_rows, index_stale, index_unchanged
 from .people import (
@@ -25,6 +26,7 @@ __all__ = [
     "dob_gate_join",
     "eligible_fanout",
     "eligible_parties",
+    "encode_once",
     "fragment_union",
     "index_changed",
     "index_new_rows",

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import nysiis
-from ..operators import eligible_parties, fragment_union
+from ..operators import eligible_parties, encode_once, fragment_union
 from ..operators.index_diff import KEY
 from ..schemas import PARTY_INDEX, WEIGHT
 from ..storage import durable
@@ -19,10 +19,17 @@ def encode_parties(parties):
     )
 
 
-def expected_party_rows(parties, relationships, members):
-    """The eight index rows every eligible party should have; empty codes included."""
+def expected_party_rows(parties, relationships, members, by_name=False):
+    """The eight index rows every eligible party should have; empty codes included.
+
+    With ``by_name`` each distinct name is encoded once.
+    """
     eligible = eligible_parties(parties, relationships, members)
-    return fragment_union(encode_parties(eligible), "party_id", "first_code", "last_code")
+    if by_name:
+        encoded = encode_once(eligible, "party_id", {"first_code": "first_name", "last_code": "last_name"})
+    else:
+        encoded = encode_parties(eligible)
+    return fragment_union(encoded, "party_id", "first_code", "last_code")
 
 
 def build_party_index(parties, relationships, members, user_id):

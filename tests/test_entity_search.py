@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from namelink.operators import contains_join, contains_stored, length_directory, substrings
+from namelink.operators.dictionary import name_dictionary
 from namelink.plans.entity_index import build_entity_index
 from namelink.plans.entity_search import (
     best_fragment_per_entity,
@@ -39,6 +40,15 @@ def test_building_the_index_needs_no_shuffle(spark):
     assert "Exchange" not in plan(build_entity_index(seed_entities(spark)))
 
 
+def test_each_name_is_encoded_once(spark):
+    values = [("Dallas", None)] * 3000 + [("Moon", "Dallas"), ("Cook", "Cook"), ("", "S")]
+    entities = spark.createDataFrame([(i, "T", a, b, "t", i) for i, (a, b) in enumerate(values)], ENTITY)
+    assert rows(name_dictionary(entities, ["entity_value1", "entity_value2"])) == [
+        ("", "", 1), ("Cook", "CAC", 2), ("Dallas", "DAL", 3001), ("Moon", "MAN", 1), ("S", "", 1)]
+    assert rows(build_entity_index(entities, by_name=True)) == rows(build_entity_index(entities))
+    assert rows(build_entity_index(entities.limit(0), by_name=True)) == []
+
+
 def test_contains_join_equals_the_naive_join(spark):
     rng = random.Random(2)
     codes = {"".join(rng.choices("ABCN", k=rng.randint(0, 7))) for _ in range(60)}
