@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from namelink.llm.bpe_shuffle import decode, encode
 from namelink.llm.decontaminate import drop_contaminated
-from namelink.llm.langid import keep_languages, labelled_sample, train
+from namelink.llm.langid import fitted, keep_languages
 from namelink.llm.line_dedup import dedup_lines
 from namelink.llm.minhash import near_dedup
 from namelink.llm.queries import benchmark, documents
@@ -37,15 +37,20 @@ def _keep(docs, verdicts):
 def language_stage(spark, docs, sf_dir):
     """Drop documents without a language: no letters, or no language that fits."""
     ship_package(spark)
-    return keep_languages(docs, train(labelled_sample(docs)), LEAST_LANGUAGE_SCORE)
+    return keep_languages(docs, fitted(docs), LEAST_LANGUAGE_SCORE)
 
 
 def line_stage(spark, docs, sf_dir):
     """Drop repeated and almost repeated lines; a text of nothing else goes as a whole."""
-    found = staged(dedup_lines(docs, max_edits=LINE_EDITS), "line-dedup")  # else the filter below repeats its work
-    dropped = F.col("n_dropped_equal") + F.col("n_dropped_near")
-    empty = F.coalesce(F.trim("doc.text"), F.lit("")) == ""
-    return found.filter(~(empty & (dropped > 0))).select("doc.*").select(docs.columns)
+    found = dedup_lines(docs, max_edits=LINE_EDITS)
+
+    def stays(row):
+        empty = F.coalesce(F.trim(row["doc"]["text"]), F.lit("")) == ""
+        return ~(empty & (row["n_dropped_equal"] + row["n_dropped_near"] > 0))
+
+    # as an array, not a filter: a filter would be moved down and repeat the work on the lines
+    kept = F.filter(F.array(F.struct(*found.columns)), stays)
+    return found.select(F.inline(kept)).select("doc.*").select(docs.columns)
 
 
 def near_copy_stage(spark, docs, sf_dir):
