@@ -24,18 +24,19 @@ ENDS = (",", ".")
 
 
 class PartCache(dict):
-    """What ``encode`` gives for parts; emptied before it grows beyond ``limit`` parts."""
+    """What ``encode`` gives for parts; emptied when it holds ``limit`` parts or ``chars`` characters."""
 
-    def __init__(self, encode, limit=300_000):
+    def __init__(self, encode, limit=1_000_000, chars=16_000_000):
         super().__init__()
-        self.encode, self.limit = encode, limit
+        self.encode, self.limit, self.chars, self.held = encode, limit, chars, 0
 
     def of_all(self, lists):
         """What the parts of each list give, joined; unknown parts are encoded in one call."""
-        if len(self) >= self.limit:
+        if len(self) >= self.limit or self.held >= self.chars:
             self.clear()
+            self.held = 0
         known = self.get
-        found = [[known(p) for p in parts] for parts in lists]
+        found = [list(map(known, parts)) for parts in lists]
         lacking = [k for k, values in enumerate(found) if None in values]
         if lacking:
             self._learn({p for k in lacking for p, value in zip(lists[k], found[k]) if value is None})
@@ -46,6 +47,7 @@ class PartCache(dict):
     def _learn(self, new):
         """A comma or full stop after a letter is a pre-token of its own, so such a part is
         put together from the part without it, which is often known already."""
+        self.held += sum(map(len, new))
         ended = {p for p in new if p[-1:] in ENDS and p[-2:-1].isalpha()}
         stems = {p[:-1] for p in ended if p[:-1] not in self}
         whole = [*(new - ended | stems | set(ENDS))]

@@ -20,8 +20,8 @@ from .shared import pieces, staged
 
 #: Code points of the texts of one block, and texts tokenised in one call.
 BLOCK_CHARS, CALL_TEXTS = 4_000_000, 64
-#: New parts that are encoded as one text, and the most parts that a worker remembers.
-JOINED_PARTS, MOST_PARTS = 500, 300_000
+#: New parts that are encoded as one text, and the most parts and characters that a worker remembers.
+JOINED_PARTS, MOST_PARTS, MOST_CHARS = 500, 300_000, 4_000_000
 _CUT, _CUT_BEFORE = re.compile(r"[^\s\x1c-\x1f] "), re.compile(r"(?<=[^\s\x1c-\x1f])(?= )")
 _ODD = re.compile(r"[\s\x1c-\x1f] | $")
 #: Share of all documents that one task may read for one text.
@@ -81,7 +81,7 @@ class Aligner:
         # A space after another character starts a new token of either vocabulary.
         if any(_CUT.search(x.decode(errors="replace")) for x in (*self.bytes_a, *self.bytes_b)):
             raise ValueError("a token of one of the vocabularies spans several words")
-        self.known = {}
+        self.known, self.held = {}, 0
 
     def _ids(self, raw):
         """Token ids of both tokenizers for a text after its leading space."""
@@ -134,10 +134,12 @@ class Aligner:
         Tokens end where words end, so a text's alignment is that of its parts, and a part
         that was met before is not encoded again.
         """
-        if len(self.known) > MOST_PARTS:
+        if len(self.known) > MOST_PARTS or self.held > MOST_CHARS:
             self.known.clear()
+            self.held = 0
         lists = [_parts(" " + t) if t else [] for t in texts]
         new = [p for p in dict.fromkeys(chain.from_iterable(lists)) if p not in self.known]
+        self.held += sum(map(len, new))
         # parts that end in white space stand last in their texts, so they are encoded alone
         joined = [p for p in new if not p[-1].isspace()]
         for k in range(0, len(joined), JOINED_PARTS):
