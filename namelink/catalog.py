@@ -412,8 +412,8 @@ def clusters_by_steps(spark, d):
     names = durable(duplicates.distinct_names(entities))
     near = duplicates.near_names(names).select("left_id", "right_id")
     alone = names.select(F.col("name_id").alias("entity_id"), F.col("name_id").alias("cluster_id"))
-    stored = durable(duplicates.merge_links(alone, near)[0])
-    merged = duplicates.merge_links(stored, duplicates.same_code_names(names))[0]
+    stored = duplicates.merge_links(alone, near)[0]
+    merged = durable(duplicates.merge_links(stored, duplicates.same_code_names(names))[0])
     by_name = names.join(merged.withColumnRenamed("entity_id", "name_id"), "name_id")
     return duplicates.per_entity(entities, by_name, "cluster_id")
 
