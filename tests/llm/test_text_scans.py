@@ -85,20 +85,59 @@ def test_pii_many_matches_in_one_text(spark):
     assert [(x["start"], x["end"]) for x in row["base"]] == [m.span() for m in re.finditer(PATTERNS["email"], text)]
 
 
-def test_trees_score_as_the_model(spark):
-    rng = random.Random(3)
-    rows = []
-    for k in range(400):
-        number = "".join(rng.choice("0123456789") for _ in range(rng.choice([4, 10, 16])))
-        rows.append((k, f"{prose(k, 6, 1)} {'+1 555 ' if k % 3 else 'nr '}{number} or u{k}@mail.example.com 10.0.0.{k}"))
-    found = pii.candidates(frame(spark, rows))
-    margin, thresholds = pii.fit(found)
-    assert set(thresholds) <= set(pii.KINDS) and all(0.9 <= t <= 1 for t in thresholds.values())
-    scored = found.select(F.explode("candidates").alias("c")).select("c.label", pii._score(margin(F.col("c"))).alias("p")).collect()
-    right = sum((r["p"] > 0.5) == r["label"] for r in scored)
-    assert right > 0.9 * len(scored)
-    got = pii.find_pii(frame(spark, rows)).collect()
-    assert all(set(map(tuple, r["base"])) <= set(map(tuple, r["spans"])) for r in got)
+def personal(k):
+    """A text with one base finding of each kind and a number that is none."""
+    rng = random.Random(k)
+    start = "".join(rng.choice("0123456789") for _ in range(15))
+    card = next(start + str(d) for d in range(10) if valid("card", start + str(d)))
+    other = card[:-1] + str((int(card[-1]) + 1 + k % 8) % 10)
+    parts = [f"+1 (017) 555-{rng.randint(1000, 9999)}", f"u{k}.x@mail{k % 7}.example.com",
+             f"10.{k % 200}.0.{rng.randint(0, 255)}", card, other, "2024-01-05", f"a{rng.randint(10**9, 10**10)}"]
+    rng.shuffle(parts)
+    return " ".join(f"{prose(k * 9 + i, 6, 1)} {part}" for i, part in enumerate(parts)) + " end"
+
+
+CARD, BAD_CARD = "4539148803436467", "4539148803436468"
+PLANTED = [
+    ("write to jane.doe (at) mail (dot) example (dot) com soon", "jane.doe (at) mail (dot) example (dot) com"),
+    ("we met (at) noon. Then we left", None), ("at 10.1.2[.]300 or", None),
+    ("host 10[.]20[.]30[.]40 down", "10[.]20[.]30[.]40"), ("nr 10[.]20[.]30[.]999 is none", None),
+    ("paid 4539.1488.0343.6467 today", "4539.1488.0343.6467"), ("paid 4539.1488.0343.6468 today", None),
+    (f"the {BAD_CARD} {CARD} the", CARD), (f"the {BAD_CARD} the", None),
+    ("so (030) 555-7713 is it", "(030) 555-7713"), ("on 2024-01-05 we met", None), ("no text", None),
+]
+
+
+def test_trees_add_what_the_base_patterns_miss(spark):
+    rows = [(k, personal(k)) for k in range(240)]
+    rows += [(1000 + k, text) for k, (text, _) in enumerate(PLANTED)] + [(1000, PLANTED[0][0]), (2000, None), (2001, "")]
+    rows += awkward_texts()
+    got = pii.pii_report(frame(spark, rows)).collect()
+    assert len(got) == len(rows)
+    assert Counter(tuple(r)[:6] for r in got) == Counter((i, *brute_pii(t)) for i, t in rows)
+    texts = dict(rows)
+    for k, (text, wanted) in enumerate(PLANTED):
+        found = [r["spans"] for r in got if r["doc_id"] == 1000 + k]
+        values = {x for spans in found for s in spans.split(",") if s for x in [text[int(s.split(":")[1]):int(s.split(":")[2])]]}
+        assert values == ({wanted} if wanted else set()), (text, found)
+    for r in got:
+        spans = [tuple(s.split(":")) for s in r["spans"].split(",") if s]
+        assert r["n_spans"] == len(spans) == len(set(spans))
+        if texts.get(r["doc_id"]) and 0 <= (r["doc_id"] or -1) < 240:
+            assert r["n_spans"] == r["n_email"] + r["n_ip"] + r["n_card"] + r["n_phone"]
+
+
+def test_compiled_trees_score_as_the_model(spark):
+    rows = pii.labelled(frame(spark, [(k, personal(k)) for k in range(60)])).cache()
+    model = pii.learn(rows)
+    names = pii.feature_names(rows)
+    margin = pii.compile_trees(model.toDebugString, names)
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    both = model.transform(VectorAssembler(inputCols=names, outputCol="features").transform(rows)).select(
+        vector_to_array("probability")[1].alias("model"), pii._score(margin({n: F.col(n) for n in names})).alias("compiled"))
+    assert all(abs(r["model"] - r["compiled"]) < 1e-9 for r in both.collect())
 
 
 def test_tree_text_is_compiled():
@@ -133,22 +172,49 @@ def test_secret_base_spans(spark):
     assert secrets.secret_report(frame(spark, [])).collect() == []
 
 
-def test_network_finds_unnamed_secrets():
-    rng = random.Random(8)
+def key(rng, n=40, letters="0123456789abcdef"):
+    return "".join(rng.choice(letters) for _ in range(n))
+
 
-    def key(n=40):
-        return "".join(rng.choice("0123456789abcdefXYZ") for _ in range(n))
+def with_token(k):
+    rng = random.Random(k)
+    return f"{prose(k, 10, 1)} token = \"{key(rng)}\" {prose(k + 500, 10, 1)} http://www/{prose(k, 3, 1).replace(' ', '-')}-page-1"
 
-    texts = [f"{prose(k, 10, 1)} token = \"{key()}\" {prose(k + 500, 10, 1)} http://www/{prose(k, 3, 1).replace(' ', '-')}-page-1"
-             for k in range(150)]
-    network = secrets.train([r for t in texts for r in secrets.label_findings(t)])
-    base, spans = secrets.scan_text(f"clean words here {key()} and more", network)
-    assert base == [] and len(spans) == 1
-    clean = [secrets.scan_text(prose(k + 2000), network)[1] for k in range(50)]
-    assert not any(clean)
+
+BASE62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+
+def test_network_adds_what_the_base_patterns_miss(spark):
+    rng = random.Random(8)
+    rows = [(k, with_token(k)) for k in range(300)]
+    planted = {1000 + k: secret for k, secret in enumerate(
+        [key(rng, 31), key(rng, 40, BASE62), key(rng, 40, BASE62 + "/+") + "A1", key(rng, 60, BASE62 + "/+") + "A1", key(rng, 28, BASE62)])}
+    rows += [(k, f"clean words here {secret} and more of them") for k, secret in planted.items()]
+    rows += [(1100, f"connect with pwd={key(rng, 14, BASE62)} there"), (1101, f"at https://admin:{key(rng, 16, BASE62)}@ it is")]
+    rows += [(2000 + k, prose(k + 2000)) for k in range(50)] + awkward_texts()
+    got = secrets.secret_report(frame(spark, rows)).collect()
+    assert len(got) == len(rows)
+    texts = dict(rows)
+    found = {r["doc_id"]: r["spans"] for r in got}
+    hits = sum(any(texts[k][int(a):int(b)] == v for _, a, b in (x.split(":") for x in found[k].split(",") if x)) for k, v in planted.items())
+    assert hits >= len(planted) - 1, {k: found[k] for k in planted}
+    assert found[1100] and found[1101]
+    assert not any(found[2000 + k] for k in range(50))
+    base = {r["doc_id"]: r["base_sha256"] for r in got}
+    assert all(base[i] == hashlib.sha256(brute_secrets(t).encode()).hexdigest() for i, t in rows)
+    assert all(r["n_spans"] == len([x for x in r["spans"].split(",") if x]) for r in got)
     assert secrets.train([]) is None
 
 
+def test_windows_show_the_whole_of_a_long_candidate():
+    text = "x " + "a1" * 100 + " y"
+    chars, own, firsts = secrets.windows(text, [(2, 202), (2, 10)])
+    assert list(firsts) == [0, len(chars) - 1] and own.sum(axis=1).max() == secrets.SHOWN
+    starts = secrets._views(2, 202)
+    assert starts[-1] + secrets.SHOWN == 202 and all(b - a <= secrets.SLIDE for a, b in zip(starts, starts[1:]))
+    assert secrets.free_of([(0, 2), (2, 4), (5, 9), (9, 12)], [(3, 5), (4, 5), (11, 30)]) == [(0, 2), (5, 9)]
+
+
 WORDS = {"en": "the and attion ing thes ould wher".split(), "de": "der und schaft ung keit pfle zwei".split(), "es": "los que ción mente ado llo".split()}
 
 
