@@ -322,13 +322,22 @@ def _plain(text, rng):
             for row in _framed(value, name, frame, 0.0, rng)]
 
 
+def _unclear(text, start, end):
+    """Whether a free candidate may be a secret: it has a name, or is long and changes often
+    between digits, small letters and capitals."""
+    value = text[start:end]
+    classes = ["d" if c.isdigit() else "l" if c.islower() else "u" if c.isupper() else "" for c in value]
+    changes = sum(a != b for a, b in zip(classes, classes[1:]) if a and b)
+    return (len(value) >= LEAST_BARE and 5 * changes >= len(value)) or bool(_NAMED.search(text[max(0, start - CONTEXT):start]))
+
+
 def label_findings(text):
     """Labelled candidates of one text: (text around, start, end, label, origin).
 
     Secrets are what base findings cover; they come back with the words before them blanked
     and rewritten, so that the network learns more than the base patterns. Clean ones are
-    free candidates and things made of the text's words; a free candidate after a colon or
-    an equals sign may be a secret under an unknown name and is left out.
+    free candidates and things made of the text's words; free candidates that may be secrets
+    are left out.
     """
     base = [(s, e) for _, s, e in base_spans(text)]
     proposed = candidates(text)
@@ -337,7 +346,7 @@ def label_findings(text):
     rows = _plain(text, rng)
     for start, end in proposed:
         if (start, end) in free:
-            if not _NAMED.search(text[max(0, start - CONTEXT):start]):
+            if not _unclear(text, start, end):
                 rows.append(_around(text, start, end, 0.0, "found"))
             continue
         around, at, stop, *_ = _around(text, start, end, 1.0, "found")

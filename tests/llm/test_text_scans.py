@@ -186,7 +186,7 @@ BASE62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
 
 def test_network_adds_what_the_base_patterns_miss(spark):
     rng = random.Random(8)
-    rows = [(k, with_token(k)) for k in range(300)]
+    rows = [(3000 + k, with_token(k)) for k in range(300)]
     planted = {1000 + k: secret for k, secret in enumerate(
         [key(rng, 31), key(rng, 40, BASE62), key(rng, 40, BASE62 + "/+") + "A1", key(rng, 60, BASE62 + "/+") + "A1", key(rng, 28, BASE62)])}
     rows += [(k, f"clean words here {secret} and more of them") for k, secret in planted.items()]
