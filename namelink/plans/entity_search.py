@@ -3,17 +3,19 @@
 A result row is the best index row (highest weight) per search and displayed value
 (type, value 1, value 2).
 
-Hits of the index move on to meet their entities, and the best one per search and value is
-kept in one aggregation. Where many batches are searched, the index can be prepared once:
-each row lists the codes that outrank it within its value, so that the join itself yields
-each (search, value) pair once and no shuffle follows it.
+Of the index rows with one fragment only the best one of a value can be its best match, so the
+others are dropped before any term meets them: the hits grow with the values, not with all
+rows that repeat them. Hits of a published index, which knows no values, are first cut to the
+best one per search and entity. Where many batches are searched, the index can be prepared
+once: each row lists the codes that outrank it within its value, so that the join itself
+yields each (search, value) pair once and no shuffle follows it.
 """
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import display_name, levenshtein_sql, nysiis
-from ..operators import contains_join, contains_stored, without_empty_codes
+from ..operators import contains_join, contains_stored, length_directory, without_empty_codes
 from ..sources.publish import StoredIndex
 
 VALUE = ["entity_type", "entity_value1", "entity_value2"]
@@ -46,17 +48,21 @@ def _unpack(best):
     ]
 
 
+def _best_per_code(entities, index):
+    return entity_index_join(entities, index).groupBy(*VALUE, "phonetic_name").agg(F.min(_rank_key()).alias("best"))
+
+
+def best_rows(entities, index):
+    """The best index row of each displayed value and fragment."""
+    return _best_per_code(entities, index).select(*VALUE, *_unpack(F.col("best")))
+
+
 def prepare_entity_search(entities, index):
     """One row per (value, code) with the better codes of the same value.
 
     Worth writing once, bucketed by phonetic_name, when many batches are searched.
     """
-    best = (
-        entity_index_join(entities, index)
-        .groupBy(*VALUE, "phonetic_name")
-        .agg(F.min(_rank_key()).alias("best"))
-        .select(*VALUE, "best")
-    )
+    best = _best_per_code(entities, index).select(*VALUE, "best")
     ranked = Window.partitionBy(*VALUE).orderBy("best")
     return best.select(
         *VALUE,
@@ -79,15 +85,21 @@ def best_fragment_per_entity(matches, search=("query_id",)):
     return _best_by_rank(matches, [*search, *VALUE])
 
 
+def matched_rows(encoded, entities, index):
+    """Matches of encoded terms with the best index row of each (value, fragment)."""
+    directory = length_directory(without_empty_codes(index))
+    return contains_join(encoded, best_rows(entities, index), directory=directory)
+
+
 def search_index(encoded, entities, index):
     """Best index row per (search, value) of encoded terms; the index may be a published one."""
+    search = ("query_id", "search_term")
     if isinstance(index, StoredIndex):
-        hits = contains_stored(encoded, index)
+        hits = contains_stored(encoded, index).groupBy(*search, "entity_id").agg(F.min(_rank_key()).alias("best"))
+        matches = entity_index_join(entities, hits.select(*search, *_unpack(F.col("best"))))
     else:
-        hits = contains_join(encoded, without_empty_codes(index))
-    return best_fragment_per_entity(
-        entity_index_join(entities, hits), ("query_id", "search_term")
-    )
+        matches = matched_rows(encoded, entities, index)
+    return best_fragment_per_entity(matches, search)
 
 
 def search_prepared(encoded, prepared):

@@ -11,7 +11,9 @@ from namelink.plans.entity_search import (
     encoded_terms,
     entity_index_join,
     find_entity_matches,
+    matched_rows,
     prepare_entity_search,
+    search_index,
     search_prepared,
     sorted_matches,
 )
@@ -139,3 +141,21 @@ def test_search_plan(spark):
     text = plan(found)
     assert "NestedLoop" not in text and "Cartesian" not in text
     assert "EvalPython" not in text and "InPandas" not in text
+
+
+def test_rows_that_repeat_a_value_make_no_more_matches(spark):
+    """Copies of a value and weaker rows of one fragment are dropped before a term meets them."""
+    entities = spark.createDataFrame(
+        [(n, "T", "Dallas", None, "t", n) for n in range(1, 201)] + [(201, "T", "Cook", None, "t", 201)], ENTITY)
+    index = build_entity_index(entities).unionByName(build_entity_index(entities).withColumn("name_field_id", F.lit(2)))
+    terms = spark.createDataFrame([(1, "Austin Dallas"), (2, "Cook")], "query_id bigint, search_term string")
+    encoded = encoded_terms(terms)
+    every = contains_join(encoded, entity_index_join(entities, index))
+    matched = matched_rows(encoded, entities, index)
+    assert every.count() > 1000 and matched.count() <= 8
+    assert rows(best_fragment_per_entity(matched)) == rows(best_fragment_per_entity(every))
+    expected = rows(best_fragment_per_entity(every, ("query_id", "search_term")))
+    assert rows(search_index(encoded, entities, index)) == expected
+    for spread_by in (None, ["entity_id"]):
+        stored = read_index(spark, publish_index(index, 3, least_share=20, spread_by=spread_by))
+        assert rows(search_index(encoded, entities, stored)) == expected
