@@ -208,6 +208,16 @@ def test_dob_gate(spark):
     assert rows(dob_gate_join(left, right, "a", "b", on=["k"]), "k", "a", "b") == naive
 
 
+def test_pairs_of_a_busy_key_are_dealt_out(spark):
+    from namelink.operators.spread import spread_pairs
+
+    left = spark.createDataFrame([("TO", n) for n in range(300)] + [("AN", 1), (None, 2), ("X", 3)], "k string, a int")
+    right = spark.createDataFrame([("TO", n) for n in range(50)] + [("AN", 1), ("AN", 1), (None, 2)], "k string, b int")
+    found = spread_pairs(left, right, ["k"], least=500)
+    assert rows(found, "k", "a", "b") == rows(left.join(right, "k"), "k", "a", "b")
+    assert "_slot" in plan(found) and found.columns == ["k", "a", "b"]
+
+
 def test_claim_search_plan(spark, sf_dir):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

@@ -22,7 +22,7 @@ def text_scans(monkeypatch):
 
 @pytest.mark.parametrize("name", [
     "check_constraints", "name_alias_rules", "index_changed", "index_unchanged", "index_new_rows", "index_stale",
-    "merge_duplicates",
+    "merge_duplicates", "dob_gate_join",
 ])
 def test_texts_are_read_once(spark, sf_dir, text_scans, name):
     found = catalog.QUERIES[name](spark, sf_dir)
