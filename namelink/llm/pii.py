@@ -9,7 +9,9 @@ Labels come from the base findings, rewritten into forms that the base patterns
 address spelt "(at)", a number without its plus sign, a card in other groups. These are the
 positives. Negatives are the same findings made wrong (a check digit changed, a part above
 255, a sentence end for a dot), and proposed spans of the texts themselves, unless their
-form or the words before them leave open what they are.
+form or the words before them leave open what they are. Every document takes part. Candidates
+of equal features and label are one weighted row, so what is fitted grows with the forms that
+spans have, not with the documents.
 """
 
 import re
@@ -46,11 +48,9 @@ CONTEXT = {
     "phone": "phone|tel|call|fax|mobile|ruf|llam|appel",
 }
 CONTEXT_CHARS = 24
-#: About how many documents the labelled candidates come from, and the trees fitted to them.
-SAMPLE_DOCS, TREES, DEPTH = 20_000, 16, 4
-#: Tasks that hold the bounded sample while trees are fitted.
-SAMPLE_TASKS = 8
-#: Documents of the sample, one in so many, that set the thresholds and train no tree.
+#: Trees fitted to the labelled candidates.
+TREES, DEPTH = 16, 4
+#: Documents, one in so many, that set the thresholds and train no tree.
 HELD_OUT = 3
 #: Precision that a kind's threshold must reach on held-out candidates, both labels counted
 #: alike, and the least number of each label to trust it.
@@ -339,13 +339,20 @@ def _score(margin):
 
 
 def feature_names(rows):
-    return [c for c in rows.columns if c not in ("doc_id", "kind", "target", "calibrate", "weight")]
+    return [c for c in rows.columns if c not in ("doc_id", "kind", "target", "calibrate", "n", "weight")]
+
+
+def counted(rows):
+    """Equal rows of all documents as one row with their number ``n``."""
+    return rows.groupBy(*(c for c in rows.columns if c != "doc_id")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def _balanced(rows):
     """Add ``weight``: both labels of a kind weigh the same."""
-    counts = rows.groupBy("kind", "target").agg(F.count(F.lit(1)).alias("n"))
-    return rows.join(F.broadcast(counts), ["kind", "target"]).withColumn("weight", 1000 / F.col("n")).drop("n")
+    rows = rows if "n" in rows.columns else counted(rows)
+    totals = rows.groupBy("kind", "target").agg(F.sum("n").alias("total"))
+    return rows.join(F.broadcast(totals), ["kind", "target"]).withColumn(
+        "weight", 1000 * F.col("n") / F.col("total")).drop("n", "total")
 
 
 def learn(rows, seed=3):
@@ -364,15 +371,15 @@ def fit(rows, seed=3):
     held-out candidates are right, both labels weighing the same.
     """
     held = F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(HELD_OUT)) == 0
-    rows = staged(rows.withColumn("calibrate", held).repartition(SAMPLE_TASKS), "pii-candidates")
+    rows = staged(counted(rows.withColumn("calibrate", held)), "pii-candidates")
     model = learn(rows.filter("!calibrate"), seed)
     if model is None:
         return None
     names = feature_names(rows)
     margin = compile_trees(model.toDebugString, names)
     scored = rows.filter("calibrate").select(
-        "kind", "target", (F.floor(_score(margin({n: F.col(n) for n in names})) * 10_000) / 10_000).alias("score")
-    ).groupBy("kind", "score").agg(F.sum("target").alias("right"), F.count(F.lit(1)).alias("n")).collect()
+        "kind", "target", "n", (F.floor(_score(margin({n: F.col(n) for n in names})) * 10_000) / 10_000).alias("score")
+    ).groupBy("kind", "score").agg(F.sum(F.col("target") * F.col("n")).alias("right"), F.sum("n").alias("n")).collect()
     thresholds = {}
     for kind in KINDS:
         own = sorted((r for r in scored if r["kind"] == kind), key=lambda r: -r["score"])
@@ -388,13 +395,6 @@ def fit(rows, seed=3):
     return margin, thresholds
 
 
-def sample_docs(docs, size=SAMPLE_DOCS):
-    """About ``size`` documents, by a hash of their ids; all of them where there are fewer."""
-    total = docs.count()
-    share = min(1.0, size / max(1, total))
-    return docs.filter(F.pmod(F.xxhash64("doc_id", F.lit("pii")), F.lit(1_000_000)) < int(share * 1_000_000))
-
-
 def find_pii(docs):
     """Per document: counts and spans of the base kinds, and all spans.
 
@@ -403,7 +403,7 @@ def find_pii(docs):
     overlap, the better scored stays, then the earlier. A null text is empty.
     """
     found = candidates(docs)
-    fitted = fit(labelled(sample_docs(docs)))
+    fitted = fit(labelled(docs))
     added = F.array().cast(SPAN)
     if fitted and fitted[1]:
         margin, thresholds = fitted

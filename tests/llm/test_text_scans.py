@@ -286,3 +286,19 @@ def test_posteriors_match_enumeration():
                 total[t, x] += w
         assert np.allclose(got[at:at + n], total / total.sum(axis=1, keepdims=True))
         at += n
+
+
+def test_pii_learns_from_every_document(spark, monkeypatch):
+    """The trees and thresholds see each labelled candidate of all documents, however many there are."""
+    texts = [(k, f"write to a{k}@mail.org or call +49 30 {1000000 + k % 3}") for k in range(21_000)]
+    docs, seen = frame(spark, texts), []
+
+    def fit(rows):
+        seen.append(rows.select("doc_id").distinct().count())
+        return None
+
+    monkeypatch.setattr(pii, "fit", fit)
+    pii.find_pii(docs)
+    assert seen == [len(texts)]
+    few = pii.labelled(frame(spark, texts[:300])).cache()
+    assert pii.counted(few).agg(F.sum("n")).first()[0] == few.count() > pii.counted(few).count()
