@@ -1,6 +1,7 @@
 """Token files and the word shuffle against the tokenizer libraries."""
 
 import base64
+import gc
 import hashlib
 import io
 import random
@@ -15,7 +16,7 @@ from corpus_cases import awkward_texts, frame
 from tokenizers import Tokenizer
 
 from namelink.llm.bpe_shuffle import bpe_round_trip, decode, encode, pack, unpack
-from namelink.llm.bpe_words import parts_of
+from namelink.llm.bpe_words import PartCache, parts_of
 from namelink.llm.shared import new_folder
 from namelink.llm.token_files import TokenFile, TokenFileWriter, token_file_round_trip, write_token_files
 
@@ -118,3 +119,21 @@ def test_word_shuffle_digest(spark):
     empty = hashlib.sha256(b"").hexdigest()
     assert tuple(row) == (1, 0, empty, empty)
     assert bpe_round_trip(frame(spark, []), RANKS, tokens.PATTERN).collect() == []
+
+
+def test_remembered_parts_are_not_walked_by_the_collector():
+    """A cache that the collector walks costs more with every part in it."""
+    asked = []
+
+    def encode(parts):
+        asked.extend(parts)
+        return [f"<{p}>".encode() for p in parts]
+
+    cache = PartCache(encode, limit=50)
+    lists = [["a", " b", " b", " word,"], [], [" b", " word", " 1,"], ["a", " new", " b", " new"]]
+    for _ in range(2):
+        assert cache.of_all(lists) == [b"<a>< b>< b>< word><,>", b"", b"< b>< word>< 1,>", b"<a>< new>< b>< new>"]
+    assert len([p for p in asked if p not in (",", ".")]) == len({" b", "a", " word", " 1,", " new"})
+    assert cache.of_all([[f" {k}" for k in range(60)]]) == [b"".join(b"< %d>" % k for k in range(60))]
+    assert cache.of_all([["a"]]) == [b"<a>"] and len(cache) == 3
+    assert not gc.is_tracked(cache.known)
