@@ -4,8 +4,8 @@ All of it is DataFrame functions. A line is cut into threshold + 1 segments. If
 within the threshold, some segment i of the line occurs in it unchanged, with at most i edits
 before and at most threshold - i after it: this limits how far the segment may be shifted. A
 line indexes its own segments under its length, and probes those of lines as long or up to
-threshold letters shorter. Segments that many lines share are cut once more before lines are
-paired.
+threshold letters shorter. Where many lines share a segment, what lies beside it is cut again
+and again before lines are paired, and lines already found near an earlier one are not asked again.
 Pairs are confirmed by Spark's ``levenshtein`` with a threshold, which fills only the band
 of the matrix around the diagonal.
 """
@@ -17,7 +17,7 @@ from .shared import key_filter, let_through, staged
 
 MIN_CHARS = 30
 MAX_EDITS = 1
-#: Lines of one segment above which the rest of the line is cut again before pairing.
+#: Lines of one segment, still to be found near another, above which the rest of the line is cut again.
 HOT_LINES = 64
 POSITIONS = 1 << 31
 
@@ -76,27 +76,43 @@ def _segment_keys(line, min_chars, max_edits):
     return F.concat(own, *shorter)
 
 
-def _refined_keys(line, max_edits):
-    """(finer, probe) of a line under one segment: what lies beside the segment, cut again.
+def _open(*regions):
+    """Regions that can be cut: a region has a length ``n`` in the indexed line, starts at ``at``
+    in the own line, is ``more`` letters longer there, and holds at most ``budget`` edits."""
+    found = F.array(*[F.struct(n.alias("n"), at.alias("at"), more.alias("more"), budget.alias("budget"))
+                      for n, at, more, budget in regions])
+    return F.filter(found, lambda r: r["n"] > r["budget"])
 
-    Before segment i > 0 are at most i edits, after the first at most ``max_edits``.
-    """
-    length, found = F.col("length"), None
-    for side in range(max_edits + 1):
-        start, n = _cut(length, max_edits, side)
-        edits, begin, target = (side, F.lit(0), start) if side else (max_edits, n, length - n)
-        for less in range(max_edits + 1):
-            for shift in _shifts(max_edits, side, less):
-                keys = []
-                for piece in range(edits + 1):
-                    at, size = _cut(target, edits, piece)
-                    for x in _shifts(edits, piece, shift if side else less):
-                        part = F.substring(line, begin + at + 1 + x, size)
-                        keys.append(F.struct(F.xxhash64("key", F.lit(piece), part).alias("finer"),
-                                             F.lit(bool(less or shift or x)).alias("probe")))
-                here = (F.col("side") == side) & (F.col("less") == less) & (F.col("shift") == shift)
-                found = F.when(here, F.array(*keys)) if found is None else found.when(here, F.array(*keys))
-    return found
+
+def _beside_segment(max_edits):
+    """The open regions before and after a segment: at most ``side`` edits before it, the others after."""
+    side, length, shift = F.col("side"), F.col("length"), F.col("shift")
+    start, n = _cut(length, max_edits, side)
+    return _open((start, F.lit(0), shift, side),
+                 (length - start - n, start + n + shift, F.col("less") - shift, max_edits - side))
+
+
+def _finer(rows, max_edits):
+    """Rows (h, line, key, probe, regions) under finer keys: the longest open region cut like a line."""
+    longest = F.array_max(F.transform("regions", lambda r, i: F.struct(r["n"].alias("n"), (-i).alias("i"))))
+    chosen = rows.withColumn("i", -longest["i"]).withColumn("r", F.get("regions", F.col("i"))).withColumn(
+        "others", F.filter("regions", lambda r, i: i != F.col("i")))
+    n, at, more = F.col("r.n"), F.col("r.at"), F.col("r.more")
+
+    def keys(budget):
+        for piece in range(budget + 1):
+            start, size = _cut(n, budget, piece)
+            for x in range(-piece, piece + 1):
+                part = F.substring("line", at + start + 1 + x, size)
+                beside = _open((start, at, F.lit(x), F.lit(piece)),
+                               (n - start - size, at + start + size + x, more - x, F.lit(budget - piece)))
+                yield F.when(F.abs(more - x) <= budget - piece, F.struct(
+                    F.xxhash64("key", F.lit(piece), part).alias("key"), (F.col("probe") | F.lit(x != 0)).alias("probe"),
+                    F.concat("others", beside).alias("regions")))
+
+    found = F.coalesce(*[F.when(F.col("r.budget") == budget, F.array_compact(F.array(*keys(budget))))
+                         for budget in range(1, max_edits + 1)])
+    return chosen.select("h", F.explode(found).alias("s")).select("h", "s.*")
 
 
 def _maybe_near(lines, min_chars, max_edits):
@@ -117,6 +133,48 @@ def _pairs(rows, key):
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
+def _among_many(rows, lines, max_edits):
+    """Lines near an earlier one where many share a segment: hashes found, and pairs (a, b) to be compared.
+
+    Round by round every line is compared with the earliest line indexed under its key. Of
+    those found near it nothing more is asked, but they may show others to be near. Where at
+    most HOT_LINES lines are left to be found, these are paired with all lines of the key; the
+    other lines get finer keys, until no region of a line can be cut any more.
+    """
+    lines = staged(lines.join(rows.select("h").distinct(), "h", "left_semi").select("h", "line", "first"), "hot-lines")
+    found, pairs = lines.select("h").limit(0), lines.select(F.col("h").alias("a"), F.col("h").alias("b")).limit(0)
+    group, order = Window.partitionBy("key"), F.struct("first", "h")
+    while True:
+        head = F.min(F.when(~F.col("probe"), F.struct(order.alias("order"), "line"))).over(group)
+        met = staged(
+            rows.join(lines, "h").withColumn("n", F.count(F.lit(1)).over(group))
+            .withColumn("least", F.min("h").over(group)).withColumn("most", F.max("h").over(group))
+            .withColumn("head", head).filter(F.col("head").isNotNull() & (F.col("least") != F.col("most")))
+            .withColumn("near", (F.col("head.order") < order) & (F.levenshtein("head.line", "line", max_edits) >= 0))
+            .select("h", "first", "key", "probe", "regions", "n", "near"),
+            "hot-segments",
+        )
+        if met.isEmpty():
+            return found, pairs
+        found = staged(found.unionByName(met.filter("near").select("h")).distinct(), "hot-found")
+        asked = staged(
+            met.drop("near").join(found.withColumn("done", F.lit(True)), "h", "left")
+            .withColumn("asked", F.count(F.when(F.col("done").isNull(), 1)).over(group)).filter("asked > 0"),
+            "hot-asked",
+        )
+        last = (F.col("n") <= HOT_LINES) | (F.col("asked") <= HOT_LINES) | (F.size("regions") == 0)
+        few = asked.filter(~last).agg(F.coalesce(F.sum("asked"), F.lit(0))).first()[0] <= HOT_LINES * lines.count()
+        last = last | F.lit(few)
+        left = asked.filter(last & F.col("done").isNull()).select(
+            "key", F.col("h").alias("a"), F.col("first").alias("a_first"), F.col("probe").alias("a_probe"))
+        right = asked.filter(last).select(
+            "key", F.col("h").alias("b"), F.col("first").alias("b_first"), F.col("probe").alias("b_probe"))
+        later = F.struct("a_first", "a") > F.struct("b_first", "b")
+        met_pairs = left.join(right, "key").filter(later & ~(F.col("a_probe") & F.col("b_probe")))
+        pairs = pairs.unionByName(met_pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+        rows = _finer(asked.filter(~last).join(lines.select("h", "line"), "h"), max_edits)
+
+
 def near_lines(docs, min_chars=MIN_CHARS, max_edits=MAX_EDITS):
     """Hashes ``h`` of distinct lines at most ``max_edits`` away from a line that occurs earlier."""
     if max_edits < 1 or min_chars < (max_edits + 1) ** 2:
@@ -129,10 +187,9 @@ def near_lines(docs, min_chars=MIN_CHARS, max_edits=MAX_EDITS):
         .withColumn("most", F.max("h").over(group)).filter("least != most").drop("least", "most"),
         "near-line-segments",
     )
-    hot = met.filter(F.col("n") > HOT_LINES).join(lines.select("h", "line"), "h").select(
-        "h", F.explode(_refined_keys(F.col("line"), max_edits)).alias("s")
-    ).select("h", "s.*")
-    pairs = _pairs(met.filter(F.col("n") <= HOT_LINES), "key").unionByName(_pairs(hot, "finer")).distinct()
+    hot = met.filter(F.col("n") > HOT_LINES).select("h", "key", "probe", _beside_segment(max_edits).alias("regions"))
+    found, hot_pairs = _among_many(hot, lines, max_edits)
+    pairs = _pairs(met.filter(F.col("n") <= HOT_LINES), "key").unionByName(hot_pairs).distinct()
 
     def side(name):
         return lines.select(F.col("h").alias(name), F.col("line").alias(f"{name}_line"), F.col("first").alias(f"{name}_first"))
@@ -141,7 +198,7 @@ def near_lines(docs, min_chars=MIN_CHARS, max_edits=MAX_EDITS):
         F.levenshtein("a_line", "b_line", max_edits) >= 0
     )
     later = F.struct("a_first", "a") > F.struct("b_first", "b")
-    return near.select(F.when(later, F.col("a")).otherwise(F.col("b")).alias("h")).distinct()
+    return near.select(F.when(later, F.col("a")).otherwise(F.col("b")).alias("h")).unionByName(found).distinct()
 
 
 def dedup_lines(docs, min_chars=MIN_CHARS, max_edits=MAX_EDITS, min_equal=None):

@@ -106,6 +106,32 @@ def test_lines_some_edits_apart(spark, monkeypatch, hot, edits):
         dedup_lines(docs, 8, 2)
 
 
+def test_many_lines_of_one_segment_make_few_pairs(spark, monkeypatch):
+    """Lines that share most of their text, yet are not near, do not all meet."""
+    monkeypatch.setattr(line_dedup, "HOT_LINES", 8)
+    made, among_many = [], line_dedup._among_many
+
+    def recorded(*args):
+        made.append(among_many(*args))
+        return made[0]
+
+    monkeypatch.setattr(line_dedup, "_among_many", recorded)
+    rng = random.Random(6)
+    words = prose(21, 24, 1).split(" ")
+    lines = []
+    for _ in range(150):
+        own = list(words)
+        for _ in range(3):
+            own[rng.randrange(len(own))] = f"w{rng.randrange(10**6)}"
+        lines.append(" ".join(own))
+    lines += [edited(x, rng) for x in lines[::10]]
+    near = {b for i, b in enumerate(lines) if any(abs(len(a) - len(b)) <= 2 and edit_distance(a, b) <= 2 for a in lines[:i])}
+    got = dedup_lines(frame(spark, list(enumerate(lines))), 30, 2).filter("n_dropped_near > 0").select("doc.doc_id").collect()
+    assert {lines[r["doc_id"]] for r in got} == near and len(near) >= 15
+    found, pairs = made[0]
+    assert found.count() + pairs.distinct().count() < 8 * len(lines) < len(lines) * (len(lines) - 1) / 4
+
+
 def test_lines_without_ids_and_repeated_rows(spark):
     line = "A line that is long enough to be compared."
     rows = [(None, line), (5, line), (7, "only once, but the very same row twice"), (7, "only once, but the very same row twice"), (4, None)]
