@@ -218,6 +218,20 @@ def test_pairs_of_a_busy_key_are_dealt_out(spark):
     assert "_slot" in plan(found) and found.columns == ["k", "a", "b"]
 
 
+def test_rows_of_a_busy_key_are_copied_along_one_side_of_a_grid(spark):
+    from namelink.operators.spread import dealt_pairs
+
+    for n, m in ((300, 300), (900, 100), (100, 900)):
+        left = spark.createDataFrame([("TO", i) for i in range(n)] + [("AN", 1)], "k string, a int")
+        right = spark.createDataFrame([("TO", i) for i in range(m)] + [("AN", 1)], "k string, b int")
+        # 180 tasks: 180 copies of either side would be 18,000 rows at least
+        dealt, copies = dealt_pairs(left, right, ["k"], least=500)
+        assert dealt.count() + copies.count() <= 9_000
+        met = dealt.join(copies, ["k", "_slot_line", "_slot_column"])
+        assert met.count() == met.select("k", "a", "b").distinct().count() == n * m + 1
+        assert met.groupBy("_slot_line", "_slot_column").count().groupBy().max("count").first()[0] < 2_500
+
+
 def test_claim_search_plan(spark, sf_dir):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
