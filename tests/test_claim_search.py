@@ -186,6 +186,42 @@ def test_bounds_drop_no_wanted_party(spark, sf_dir):
     assert claim_search.possible_pairs(bounded, prepared).count() < pairs.count()
 
 
+def test_packed_rows_score_as_walked_ones(spark, sf_dir):
+    everyone = catalog.people(spark, sf_dir)
+    built = claim_search.prepare_party_search(*everyone, build_party_index(*everyone, 1))
+    assert claim_search._with_joined(built).filter("packed is null").isEmpty()
+    rng = random.Random(14)
+    given = setup(spark, [(i, "JUAN", "DAVILA", D(1960, 1, i % 28 + 1)) for i in range(1, 61)], memberships=2)
+    pieces = ["J", "JA", "JAN", "AN", "DA", "DAV", "DAVAL", "AV", "VAL", "AL", "L", "N", "V", "X", "J\nD", "N\n"]
+    some = [(i, rng.choice(pieces[:3 + i % 14]), rng.choice([1, 2, 3, 9, 5][:1 + i % 5]), rng.choice(["1.000", "0.500", "-2.000"]))
+            for i in range(1, 61) for _ in range(2 + i % 19)]
+    index = spark.createDataFrame(some, "party_id bigint, phonetic_name string, name_field_id int, w string").selectExpr(
+        "party_id", "phonetic_name", "name_field_id", "cast(w as decimal(18,3)) weight")
+    claims = spark.createDataFrame([(1, "PC1", "DAVAL", "JUAN", D(1960, 1, 5)), (2, "PC2", "DAVILA", "JO", D(1990, 1, 9))], CLAIM)
+    prepared = claim_search.prepare_party_search(*given[:3], index)
+    packed = claim_search._with_joined(prepared).groupBy(F.col("packed").isNull().alias("walked")).count()
+    assert packed.count() == 2
+    encoded = claim_search.encode_claims(claims)
+    pairs = claim_search.candidate_pairs(claim_search.distinct_searches(encoded), prepared)
+    scored = claim_search.scored_candidates(pairs)
+    expected = []
+    for c in encoded.collect():
+        for pid in range(1, 61):
+            hits = [(w, f) for p, x, f, w in some if p == pid and (x in c["last_code"] or x in c["first_code"])]
+            for weight in {w for w, _ in hits}:
+                fields = [f for w, f in hits if w == weight]
+                types, cnt = len(set(fields)), 2 * len(fields)
+                expected.append((c["claim_id"], pid, float(weight), types, cnt, float(weight) * (types + cnt)))
+    columns = [F.col(x).cast("double") if x in ("weight", "score") else x for x in (
+        "search_id", "party_id", "weight", "types", "cnt", "score")]
+    assert rows(scored, *columns) == sorted(expected, key=repr)
+    best = pairs.withColumn("best", claim_search._best_score() / 1000).select("search_id", "party_id", "best")
+    top = {}
+    for claim, pid, *_, score in expected:
+        top[claim, pid] = max(score, top.get((claim, pid), score))
+    assert rows(best) == sorted([(*k, v) for k, v in top.items()], key=repr)
+
+
 def test_least_distance_is_a_lower_bound(spark):
     rng = random.Random(12)
     texts = ["".join(rng.choices("ABCé中 ", k=rng.randint(0, 9))) for _ in range(400)]
