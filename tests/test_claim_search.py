@@ -222,6 +222,11 @@ def test_packed_rows_score_as_walked_ones(spark, sf_dir):
     assert rows(best) == sorted([(*k, v) for k, v in top.items()], key=repr)
 
 
+def test_a_search_makes_its_pairs_once(spark, sf_dir):
+    text = plan(catalog.party_matches(spark, sf_dir))
+    assert text.count("keys [3]: [fragment") == 2  # the left and the right side of one join
+
+
 def test_least_distance_is_a_lower_bound(spark):
     rng = random.Random(12)
     texts = ["".join(rng.choices("ABCé中 ", k=rng.randint(0, 9))) for _ in range(400)]
